@@ -102,9 +102,7 @@ def running_total(
     )
     inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = placed.withColumn("_inside", F.sum("_value").over(inside))
-    zero = F.lit(0)
     return (
         summed.join(carried, group, "left")
-        .withColumn(out, F.col("_inside") + F.coalesce(F.col("_before"), zero))
-        .drop("_hot", "_day", "_part", "_value", "_inside", "_before")
+        .select(*rows.columns, (F.col("_inside") + F.coalesce(F.col("_before"), F.lit(0))).alias(out))
     )

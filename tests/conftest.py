@@ -11,7 +11,8 @@ from wagerlens.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("4", 4, "wagerlens-tests")
+    # Thousands of tiny plans: the light compiler warms up faster than it loses.
+    session = local_session("8", 2, "wagerlens-tests", java_options="-XX:TieredStopAtLevel=1")
     yield session
     session.stop()
 

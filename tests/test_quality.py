@@ -96,6 +96,11 @@ def test_suite_and_log(spark, frame, tmp_path):
     warned = q.run_suite([q.Check("a", "warn", bad), q.Check("b", "error", good)])
     assert rows(warned) == [("a", "warn", 2, "warn"), ("b", "error", 0, "pass")]
     q.raise_on_error(warned)
+    mixed = q.run_suite([
+        q.RowCheck("r1", "error", bad, bad.n > 1), q.Check("a", "warn", bad), q.RowCheck("r2", "warn", bad, bad.n > 0),
+        q.RowCheck("r3", "error", bad, bad.n > 5),
+    ])
+    assert rows(mixed) == [("a", "warn", 2, "warn"), ("r1", "error", 1, "error"), ("r2", "warn", 2, "warn"), ("r3", "error", 0, "pass")]
     with pytest.raises(q.QualityError, match="c: 2 failing rows"):
         q.raise_on_error(q.run_suite([q.Check("c", "error", bad)]))
     for run in ("r1", "r2"):

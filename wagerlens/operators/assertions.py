@@ -16,12 +16,19 @@ from wagerlens.plans.silver import opening_movement
 from wagerlens.schemas import TOTAL
 
 
+# Row rules as conditions that are true for a failing row.
+AMOUNT_NOT_POSITIVE = "amount <= 0"
+NEGATIVE_COUNTS = "clicks < 0 or registrations < 0 or ftd < 0 or cpa_value < 0"
+FTD_ABOVE_REGISTRATIONS = "ftd > registrations"
+REGISTRATIONS_ABOVE_CLICKS = "registrations > clicks"
+
+
 def amount_positive(stg_tx: DataFrame) -> DataFrame:
-    return stg_tx.where("amount <= 0").select("transaction_id", "amount")
+    return stg_tx.where(AMOUNT_NOT_POSITIVE).select("transaction_id", "amount")
 
 
 def counts_non_negative(stg_aff: DataFrame) -> DataFrame:
-    return stg_aff.where("clicks < 0 or registrations < 0 or ftd < 0 or cpa_value < 0").select(
+    return stg_aff.where(NEGATIVE_COUNTS).select(
         "affiliate_id", "player_id", "clicks", "registrations", "ftd", "cpa_value"
     )
 
@@ -38,11 +45,11 @@ def no_future_timestamps(stg_sessions: DataFrame, stg_tx: DataFrame, as_of: date
 
 
 def ftd_within_registrations(stg_aff: DataFrame) -> DataFrame:
-    return stg_aff.where("ftd > registrations").select("affiliate_id", "player_id", "ftd", "registrations")
+    return stg_aff.where(FTD_ABOVE_REGISTRATIONS).select("affiliate_id", "player_id", "ftd", "registrations")
 
 
 def registrations_within_clicks(stg_aff: DataFrame) -> DataFrame:
-    return stg_aff.where("registrations > clicks").select("affiliate_id", "player_id", "registrations", "clicks")
+    return stg_aff.where(REGISTRATIONS_ABOVE_CLICKS).select("affiliate_id", "player_id", "registrations", "clicks")
 
 
 def first_transaction_is_deposit(ledger: DataFrame) -> DataFrame:

@@ -133,28 +133,55 @@ def volume_anomaly(df: DataFrame, ts_col: str, train: int = 14, z: float = 3.0)
 
 @dataclass(frozen=True)
 class Check:
+    """A check that has to build its own frame of failing rows, such as a key or a reference."""
+
     name: str
     severity: str  # 'error' or 'warn'
     failing: DataFrame
 
 
+@dataclass(frozen=True)
+class RowCheck:
+    """A check decided row by row: ``fails`` is true for failing rows of ``df``."""
+
+    name: str
+    severity: str
+    df: DataFrame
+    fails: Column
+
+
 class QualityError(RuntimeError):
     """At least one check of severity 'error' found failing rows."""
 
 
-def run_suite(checks: Sequence[Check]) -> DataFrame:
-    """(check_name, severity, failures, status): every check counted in one Spark job."""
+def _result_line(check: Check | RowCheck, failures: Column) -> list[Column]:
+    level = "error" if check.severity == "error" else "warn"
+    return [
+        F.lit(check.name).alias("check_name"),
+        F.lit(check.severity).alias("severity"),
+        failures.alias("failures"),
+        F.when(failures == 0, "pass").otherwise(level).alias("status"),
+    ]
 
-    def count(check: Check) -> DataFrame:
-        found = F.col("failures") > 0
-        return check.failing.agg(F.count("*").alias("failures")).select(
-            F.lit(check.name).alias("check_name"),
-            F.lit(check.severity).alias("severity"),
-            "failures",
-            F.when(~found, "pass").when(F.lit(check.severity == "error"), "error").otherwise("warn").alias("status"),
-        )
 
-    return stack_union([count(c) for c in checks])
+def run_suite(checks: Sequence[Check | RowCheck]) -> DataFrame:
+    """(check_name, severity, failures, status): every check counted in one Spark job.
+
+    All row checks of one frame share a single scan of it, whatever their number.
+    """
+    counted = []
+    by_frame: dict[int, list[RowCheck]] = {}
+    for check in checks:
+        if isinstance(check, RowCheck):
+            by_frame.setdefault(id(check.df), []).append(check)
+        else:
+            found = check.failing.agg(F.count("*").alias("failures"))
+            counted.append(found.select(*_result_line(check, F.col("failures"))))
+    for group in by_frame.values():
+        sums = group[0].df.agg(*[F.count_if(c.fails).alias(f"c{i}") for i, c in enumerate(group)])
+        lines = F.array(*[F.struct(*_result_line(c, F.col(f"c{i}"))) for i, c in enumerate(group)])
+        counted.append(sums.select(F.inline(lines)))
+    return stack_union(counted)
 
 
 def raise_on_error(results: DataFrame) -> None:

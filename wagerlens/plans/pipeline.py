@@ -56,7 +56,7 @@ class Run:
         tables.write_full(df, self.path(layer, table))
         return self.table(layer, table)
 
-    def check(self, checks: list[q.Check]) -> None:
+    def check(self, checks: list[q.Check | q.RowCheck]) -> None:
         """Run the checks, log them, then fail if an error-level one found rows."""
         self.report(q.run_suite(checks))
 
@@ -66,22 +66,26 @@ class Run:
         q.raise_on_error(self.spark.read.parquet(log).where(F.col("run_id") == self.run_id))
 
 
-def _keyed(prefix: str, df: DataFrame, key: str) -> list[q.Check]:
-    return [
-        q.Check(f"{prefix}.{key} unique", "error", q.unique(df, [key])),
-        q.Check(f"{prefix}.{key} not null", "error", q.not_null(df, key)),
-    ]
+AnyCheck = q.Check | q.RowCheck
+
+
+def _keyed(prefix: str, df: DataFrame, key: str) -> list[AnyCheck]:
+    return [q.Check(f"{prefix}.{key} unique", "error", q.unique(df, [key])), *_filled(prefix, df, key)]
+
+
+def _filled(prefix: str, df: DataFrame, *cols: str) -> list[AnyCheck]:
+    return [q.RowCheck(f"{prefix}.{c} not null", "error", df, F.col(c).isNull()) for c in cols]
 
 
-def _filled(prefix: str, df: DataFrame, *cols: str) -> list[q.Check]:
-    return [q.Check(f"{prefix}.{c} not null", "error", q.not_null(df, c)) for c in cols]
+def _listed(prefix: str, df: DataFrame, col: str, values: tuple[str, ...]) -> AnyCheck:
+    return q.RowCheck(f"{prefix}.{col} accepted", "error", df, ~F.col(col).isin(*values))
 
 
-def _listed(prefix: str, df: DataFrame, col: str, values: tuple[str, ...]) -> q.Check:
-    return q.Check(f"{prefix}.{col} accepted", "error", q.accepted_values(df, col, values))
+def _rule(name: str, severity: str, df: DataFrame, fails: str) -> AnyCheck:
+    return q.RowCheck(name, severity, df, F.expr(fails))
 
 
-def _refers(name: str, child: DataFrame, fk: str, parent: DataFrame, pk: str) -> q.Check:
+def _refers(name: str, child: DataFrame, fk: str, parent: DataFrame, pk: str) -> AnyCheck:
     return q.Check(name, "error", q.relationships(child, fk, parent, pk))
 
 
@@ -98,7 +102,7 @@ def check_raw(run: Run) -> None:
             level.alias("status"),
         )
     )
-    checks = [c for name, key in _KEYS.items() for c in _keyed(f"raw.{name}", raw[name], key)]
+    checks: list[AnyCheck] = [c for name, key in _KEYS.items() for c in _keyed(f"raw.{name}", raw[name], key)]
     checks += _filled("raw.affiliate_cpa_ftd", raw["affiliate_cpa_ftd"], "affiliate_id")
     for name, df in raw.items():
         baseline = run.path("schema_baseline", name)
@@ -132,11 +136,12 @@ def build_bronze(run: Run) -> dict[str, DataFrame]:
         _listed("stg_transactions", tx, "transaction_type", TRANSACTION_TYPES),
         *_filled("stg_affiliate", aff, "affiliate_id", "player_id", "country", "clicks", "registrations", "ftd", "cpa_value"),
         _listed("stg_affiliate", aff, "country", COUNTRIES),
-        q.Check("amount positive", "error", rules.amount_positive(tx)),
-        q.Check("affiliate counts not negative", "error", rules.counts_non_negative(aff)),
-        q.Check("no future timestamps", "error", rules.no_future_timestamps(sessions, tx, run.as_of)),
-        q.Check("ftd <= registrations", "warn", rules.ftd_within_registrations(aff)),
-        q.Check("registrations <= clicks", "warn", rules.registrations_within_clicks(aff)),
+        _rule("amount positive", "error", tx, rules.AMOUNT_NOT_POSITIVE),
+        _rule("affiliate counts not negative", "error", aff, rules.NEGATIVE_COUNTS),
+        *[q.RowCheck(f"{name} not in the future", "error", df, F.col(ts) > F.lit(run.as_of).cast("timestamp"))
+          for name, df, ts in (("stg_sessions", sessions, "session_ts"), ("stg_transactions", tx, "txn_ts"))],
+        _rule("ftd <= registrations", "warn", aff, rules.FTD_ABOVE_REGISTRATIONS),
+        _rule("registrations <= clicks", "warn", aff, rules.REGISTRATIONS_ABOVE_CLICKS),
     ])
     return stg
 
@@ -153,7 +158,7 @@ def build_silver(run: Run, stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
     s["financials"] = run.save("silver", "financials", silver.player_financials(tx))
     s["activity"] = run.save("silver", "activity", silver.player_activity(sessions))
     s["ledger"] = run.save("silver", "ledger", silver.player_ledger(tx, run.params))
-    checks = [c for name in s if name != "ledger" for c in _keyed(name, s[name], "player_id")]
+    checks: list[AnyCheck] = [c for name in s if name != "ledger" for c in _keyed(name, s[name], "player_id")]
     checks += _keyed("ledger", s["ledger"], "transaction_id")
     checks += [
         _refers(f"{name} refers to a player", s[name], "player_id", s["players_conformed"], "player_id")
@@ -172,7 +177,7 @@ def build_silver(run: Run, stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return s
 
 
-def _load_transactions(run: Run, ledger: DataFrame, full_refresh: bool) -> None:
+def load_transactions(run: Run, ledger: DataFrame, full_refresh: bool) -> None:
     path = run.path("gold", "fct_transactions")
     fact = q.enforce_contract(gold.fct_transactions(ledger), CONTRACTS["fct_transactions"])
     if full_refresh or not files.exists(run.spark, path):
@@ -183,7 +188,7 @@ def _load_transactions(run: Run, ledger: DataFrame, full_refresh: bool) -> None:
     tables.merge_into_path(batch, path, "transaction_id", "txn_date", "player_id")
 
 
-def _load_sessions(run: Run, stg_sessions: DataFrame, full_refresh: bool) -> None:
+def load_sessions(run: Run, stg_sessions: DataFrame, full_refresh: bool) -> None:
     path = run.path("gold", "fct_sessions")
     fact = q.enforce_contract(gold.fct_sessions(stg_sessions), CONTRACTS["fct_sessions"])
     if full_refresh or not files.exists(run.spark, path):
@@ -209,8 +214,8 @@ def build_gold(run: Run, stg: dict[str, DataFrame], s: dict[str, DataFrame], ful
         ),
     }
     g = {name: run.save("gold", name, q.enforce_contract(df, CONTRACTS[name])) for name, df in models.items()}
-    _load_transactions(run, s["ledger"], full_refresh)
-    _load_sessions(run, sessions, full_refresh)
+    load_transactions(run, s["ledger"], full_refresh)
+    load_sessions(run, sessions, full_refresh)
     g["fct_transactions"] = run.table("gold", "fct_transactions")
     g["fct_sessions"] = run.table("gold", "fct_sessions")
     fraud, dim_player, perf, fct = (g[n] for n in ("fct_fraud_signals", "dim_player", "agg_affiliate_performance", "fct_transactions"))
@@ -227,8 +232,8 @@ def build_gold(run: Run, stg: dict[str, DataFrame], s: dict[str, DataFrame], ful
         *_keyed("fct_fraud_signals", fraud, "player_id"),
         *_filled("fct_fraud_signals", fraud, "value_at_risk", "risk_score", "risk_tier"),
         _listed("fct_fraud_signals", fraud, "risk_tier", RISK_TIERS),
-        q.Check("risk_score in 0..5", "error", q.between(fraud, "risk_score", 0, 5)),
-        q.Check("value_at_risk >= 0", "error", q.between(fraud, "value_at_risk", lo=0)),
+        _rule("risk_score in 0..5", "error", fraud, "risk_score not between 0 and 5"),
+        _rule("value_at_risk >= 0", "error", fraud, "value_at_risk < 0"),
         *_keyed("agg_affiliate_performance", perf, "affiliate_id"),
         *_filled("agg_affiliate_performance", perf, "qualified_ftds", "ghost_ftds"),
         _refers("player's affiliate exists", dim_player, "acquisition_affiliate_id", g["dim_affiliate"], "affiliate_id"),

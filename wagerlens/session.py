@@ -21,13 +21,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "wagerlens") -> SparkSession:
+def local_session(
+    cores: str = "*", shuffle_partitions: int = 8, app: str = "wagerlens", java_options: str = ""
+) -> SparkSession:
     """A small local session for tests and the bench."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.driver.extraJavaOptions", java_options)
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )

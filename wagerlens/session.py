@@ -32,6 +32,8 @@ def local_session(
         .config("spark.driver.memory", "8g")
         .config("spark.driver.extraJavaOptions", java_options)
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every column costs more than planning a small query.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -6,7 +6,7 @@ only, as a landed file would; the others are the typed Bronze shape.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +18,13 @@ from wagerlens.schemas import MONEY
 class DriverTables:
     spark: SparkSession
     folder: str
+    _opened: dict[str, DataFrame] = field(default_factory=dict)
 
     def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # Opening a table reads a footer for its schema: once per table is enough.
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
 
     def players(self) -> DataFrame:
         key = F.col("c_custkey")

@@ -173,7 +173,8 @@ def fct_fraud_signals(
     bursts = signals.with_registration_burst(stg_players, params).select("player_id", "is_burst")
     scored = signals.score_players(
         conformed.select("player_id").join(bursts, "player_id", "left"),
-        silver.wallet_from_silver(financials, qualified, ledger, stg_tx, params),
+        silver.wallet_from_silver(financials, qualified, stg_tx, params),
+        silver.opening_movement(ledger),
         activity,
         silver.affiliate_profile(stg_aff),
         params,
@@ -185,10 +186,11 @@ def fraud_signals_from_bronze(
     stg_players: DataFrame, stg_tx: DataFrame, stg_sessions: DataFrame, stg_aff: DataFrame,
     params: Params = DEFAULTS,
 ) -> DataFrame:
-    """Fraud profile with one scan of transactions, sessions and affiliate rows each."""
+    """Fraud profile straight from Bronze: each source is aggregated per player, then joined."""
     scored = signals.score_players(
         signals.with_registration_burst(stg_players, params),
         silver.wallet_profile(stg_tx, params),
+        silver.opening_movement(stg_tx),
         silver.player_activity(stg_sessions),
         silver.affiliate_profile(stg_aff),
         params,

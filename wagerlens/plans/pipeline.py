@@ -49,7 +49,7 @@ class Run:
 
     def table(self, layer: str, table: str) -> DataFrame:
         if table in ("fct_transactions", "fct_sessions"):
-            return tables.read_fact(self.spark, self.path(layer, table))
+            return tables.read_fact(self.spark, self.path(layer, table), CONTRACTS[table])
         return tables.read_full(self.spark, self.path(layer, table))
 
     def save(self, layer: str, table: str, df: DataFrame) -> DataFrame:
@@ -183,9 +183,9 @@ def load_transactions(run: Run, ledger: DataFrame, full_refresh: bool) -> None:
     if full_refresh or not files.exists(run.spark, path):
         tables.write_fact(fact, path, "txn_date", "player_id", "transaction_id")
         return
-    newest = tables.newest_day(tables.read_fact(run.spark, path), "txn_date")
+    newest = tables.newest_day(run.table("gold", "fct_transactions"), "txn_date")
     batch = incremental_window(fact, newest, "txn_ts", "txn_ts", run.params.lookback_days)
-    tables.merge_into_path(batch, path, "transaction_id", "txn_date", "player_id")
+    tables.merge_into_path(batch, path, "transaction_id", "txn_date", "player_id", CONTRACTS["fct_transactions"])
 
 
 def load_sessions(run: Run, stg_sessions: DataFrame, full_refresh: bool) -> None:
@@ -194,8 +194,8 @@ def load_sessions(run: Run, stg_sessions: DataFrame, full_refresh: bool) -> None
     if full_refresh or not files.exists(run.spark, path):
         tables.write_fact(fact, path, "session_date", "player_id", "session_id")
         return
-    newest = tables.read_fact(run.spark, path)
-    batch = incremental_window(fact, newest, "session_ts", "session_date", run.params.lookback_days)
+    loaded = run.table("gold", "fct_sessions")
+    batch = incremental_window(fact, loaded, "session_ts", "session_date", run.params.lookback_days)
     tables.overwrite_days(batch, path, "session_date", "player_id", "session_id")
 
 

@@ -147,15 +147,17 @@ def risk_score(flags: DataFrame) -> DataFrame:
 
 
 def score_players(
-    players: DataFrame, wallet: DataFrame, activity: DataFrame, affiliates: DataFrame, params: Params = DEFAULTS
+    players: DataFrame, wallet: DataFrame, opening: DataFrame, activity: DataFrame, affiliates: DataFrame,
+    params: Params = DEFAULTS,
 ) -> DataFrame:
     """The fraud profile: one row per player from one-row-per-player inputs.
 
     ``players`` carries player_id and is_burst. The other inputs are already grouped by
-    player_id, so of the four only ``players`` is moved for the joins.
+    player_id, so only ``players`` is moved for the joins.
     """
     joined = (
         players.join(wallet, "player_id", "left")
+        .join(opening, "player_id", "left")
         .join(activity.select("player_id", "distinct_ips", "distinct_devices", "active_span_days"), "player_id", "left")
         .join(affiliates, "player_id", "left")
     )

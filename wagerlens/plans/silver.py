@@ -1,7 +1,7 @@
 """Silver: reusable per-player building blocks.
 
-``wallet_profile`` reads the transactions once and answers every per-player money question;
-the single models below it are the same figures one at a time, for callers that need one.
+``wallet_profile`` answers the per-player money questions in one pass over the transactions; the
+single models are the same figures one at a time, for callers that need one.
 """
 
 from __future__ import annotations
@@ -152,36 +152,32 @@ def round_deposit_count(unit: int) -> Column:
 
 
 def wallet_profile(stg_tx: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """All per-player money facts in one aggregation over the transactions.
+    """The per-player money facts in one aggregation over the transactions.
 
-    Financials, first and qualified deposit, opening movement and round deposits share a key
-    and a source; taken together they cost one scan and one shuffle of pre-combined rows.
+    Financials, first and qualified deposit and round deposits share a key and a source: one
+    scan, one shuffle of pre-combined rows. All of it hash-aggregates, since every running value
+    has a fixed width. The opening movement has not, hence ``opening_movement`` stays apart: it
+    sorts, but only its own four columns, and lands partitioned by player like this frame.
     """
     sums = stg_tx.groupBy("player_id").agg(
         *_financial_sums(),
         F.min(F.when(is_type("deposit"), F.col("txn_ts"))).alias("first_deposit_ts"),
-        F.min(F.struct("txn_ts", "transaction_id", "transaction_type")).alias("head"),
         round_deposit_count(params.structuring_unit).alias("n_round"),
     )
-    bettors = F.col("total_bets") >= F.lit(params.qualified_baseline)
+    enough = F.col("total_bets") >= F.lit(params.qualified_baseline)
     return _with_financial_ratios(sums).select(
-        *FINANCIALS,
-        "first_deposit_ts",
-        ((F.col("n_deposits") > 0) & bettors).alias("is_qualified"),
-        F.col("head.transaction_type").alias("first_type"),
-        "n_round",
+        *FINANCIALS, "first_deposit_ts", ((F.col("n_deposits") > 0) & enough).alias("is_qualified"), "n_round"
     )
 
 
 def wallet_from_silver(
-    financials: DataFrame, qualified: DataFrame, ledger: DataFrame, stg_tx: DataFrame, params: Params = DEFAULTS
+    financials: DataFrame, qualified: DataFrame, stg_tx: DataFrame, params: Params = DEFAULTS
 ) -> DataFrame:
-    """The columns of ``wallet_profile`` the fraud rules need, assembled from separate Silver tables."""
+    """The columns of ``wallet_profile`` the fraud rules need, from separate Silver tables."""
     rounds = stg_tx.groupBy("player_id").agg(round_deposit_count(params.structuring_unit).alias("n_round"))
     return (
         financials.select("player_id", "total_deposits", "total_withdrawals", "total_bets", "net_deposit")
         .join(qualified.select("player_id", "is_qualified"), "player_id", "full")
-        .join(opening_movement(ledger), "player_id", "full")
         .join(rounds, "player_id", "full")
     )
 

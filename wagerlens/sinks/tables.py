@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wagerlens.operators.incremental import union_evolve
 from wagerlens.operators.quality import unique
@@ -66,8 +67,14 @@ def overwrite_days(df: DataFrame, path: str, part: str, cluster: str, key: str)
     ).partitionBy(part).parquet(path)
 
 
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """Days may have been written before a column was added."""
+def read_fact(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A partitioned fact; days written before a column was added have NULL there.
+
+    With a known schema no file is opened to find out; without one, the schemas of all files
+    are merged, which is a job over every footer.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
@@ -80,17 +87,20 @@ class DuplicateKeyError(ValueError):
     """A merge source holds a key twice."""
 
 
-def merge_into_path(source: DataFrame, path: str, key: str, part: str, cluster: str) -> None:
+def merge_into_path(
+    source: DataFrame, path: str, key: str, part: str, cluster: str, schema: T.StructType | None = None
+) -> None:
     """Upsert into a day-partitioned fact: update matched keys, insert new ones, keep the rest.
 
     Keys are matched over the whole target, reading only key and day; then only the days that
     hold a matched or incoming row are rewritten. A row whose day changed leaves its old day, and
-    a day left empty is removed. Running it again gives the same table.
+    a day left empty is removed. Running it again gives the same table, also after a run that
+    stopped half-way. ``schema`` is the stored table's, where the caller knows it.
     """
     spark = source.sparkSession
     if unique(source, [key]).limit(1).count():
         raise DuplicateKeyError(f"merge source is not unique on {key}")
-    target = read_fact(spark, path)
+    target = read_fact(spark, path, schema)
     keys = source.select(key)
     left_behind = target.select(key, part).join(keys, key, "left_semi").select(part).distinct()
     # Calendar days: at most one row per day of history reaches the driver.

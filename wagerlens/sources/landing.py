@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -15,9 +16,16 @@ from wagerlens.sources.readers import read_csv_strings, read_json_array
 
 @dataclass(frozen=True)
 class Source:
+    """One delivery. ``file`` may also be a folder or a pattern of files of the same kind.
+
+    A CSV with line breaks inside quoted fields is read a file per task; where a source never
+    has them, ``quoted_newlines=False`` lets Spark split its files.
+    """
+
     file: str
     table: str
     kind: str  # 'json' or 'csv'
+    quoted_newlines: bool = True
 
 
 # Which file becomes which raw table.
@@ -40,7 +48,7 @@ def read_source(spark: SparkSession, folder: str, source: Source) -> DataFrame:
     path = f"{folder}/{source.file}"
     if source.kind == "json":
         return read_json_array(spark, path, RAW[source.table])
-    return read_csv_strings(spark, path, RAW[source.table])
+    return read_csv_strings(spark, path, RAW[source.table], source.quoted_newlines)
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -63,11 +71,12 @@ def land_full(df: DataFrame, path: str) -> int:
 
 
 def land_all(
-    spark: SparkSession, src_dir: str, out_dir: str, ingested_at: datetime, convert_only: bool = False
+    spark: SparkSession, src_dir: str, out_dir: str, ingested_at: datetime, convert_only: bool = False,
+    sources: Sequence[Source] = SOURCES,
 ) -> dict[str, int]:
     """Land every source; returns rows per table. ``convert_only`` stops after the NDJSON files."""
     rows = {}
-    for source in SOURCES:
+    for source in sources:
         audited = with_audit(read_source(spark, src_dir, source), ingested_at)
         if convert_only:
             rows[source.table] = to_ndjson(audited, f"{out_dir}/ndjson/{source.table}")

@@ -29,7 +29,8 @@ def hot_keys(rows: DataFrame, key: str, identity: list[str], chunk_rows: int) ->
     return (
         rows.where(_sampled(identity, chunk_rows) & F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.count("*").alias("_chunks"))
+        # Distinct, so that one identity repeated without end does not ask for endless salts.
+        .agg(F.count_distinct(*identity).alias("_chunks"))
         .where(F.col("_chunks") >= HOT_SAMPLES)
     )
 

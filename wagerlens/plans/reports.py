@@ -36,19 +36,22 @@ def silver_discovery(
 ) -> DataFrame:
     """What Silver has to repair, counted.
 
-    Each source is summarized to one row in as few passes as it allows; the two rules that
-    compare every movement with a fact about its player share one join.
+    Players are unique on player_id (checked in Bronze). Every rule that compares a movement with
+    a fact about its player shares one join, and every rule about a player's affiliate rows one
+    aggregation.
     """
     emails = stg_players.agg(
         F.count_if(F.col("email").rlike("[A-Z]")).alias("upper"),
         F.count_distinct("email").alias("raw_emails"),
         F.count_distinct(F.lower("email")).alias("lower_emails"),
     )
-
-    def orphans(child: DataFrame, measure: Column, name: str) -> DataFrame:
-        return relationships(child, "player_id", stg_players, "player_id").agg(F.coalesce(measure, F.lit(0)).alias(name))
-
+    known = stg_players.select("player_id", "created_at", F.lit(True).alias("known"))
+    is_orphan = F.col("known").isNull() & F.col("player_id").isNotNull()
+    sessions = relationships(stg_sessions, "player_id", stg_players, "player_id").agg(
+        F.coalesce(F.sum("n_records"), F.lit(0)).alias("o_sessions")
+    )
     wallet = stg_tx.groupBy("player_id").agg(
+        F.min(F.when(is_type("deposit"), F.col("txn_ts"))).alias("first_deposit_ts"),
         F.count_if(is_type("deposit")).alias("n_deposits"),
         F.sum(F.when(is_type("bet"), F.col("amount"))).alias("total_bet"),
     )
@@ -58,33 +61,34 @@ def silver_discovery(
         F.count_if(F.col("total_bet").isNotNull()).alias("also_bet"),
         F.count_if(bet >= F.lit(params.qualified_baseline)).alias("qualified"),
     )
-    facts = stg_players.select("player_id", "created_at").join(
-        silver.first_deposit(stg_tx).select("player_id", "first_deposit_ts"), "player_id", "full"
-    )
-    timing = lookup_join(
+    facts = wallet.select("player_id", "first_deposit_ts").join(known, "player_id", "left")
+    movements = lookup_join(
         stg_tx.select("transaction_id", "player_id", "transaction_type", "txn_ts"), facts,
-        "player_id", ["transaction_id"], params.chunk_rows, how="inner",
+        "player_id", ["transaction_id"], params.chunk_rows,
     ).agg(
+        F.count_if(is_orphan).alias("o_tx"),
         F.count_if(F.col("txn_ts") < F.col("created_at").cast("timestamp")).alias("too_early"),
         F.count_if(is_type("withdraw") & (F.col("txn_ts") < F.col("first_deposit_ts"))).alias("unfunded"),
     )
-    countries = stg_aff.groupBy("player_id").agg(F.count_distinct("country").alias("n")).agg(
-        F.count_if(F.col("n") > 1).alias("multi_country")
-    )
-    funnel = stg_aff.agg(
-        F.count_if(F.col("ftd") > F.col("registrations")).alias("ftd_gt_reg"),
-        F.count_if(F.col("registrations") > F.col("clicks")).alias("reg_gt_clicks"),
+    affiliates = (
+        stg_aff.groupBy("player_id")
+        .agg(
+            F.count_distinct("country").alias("n_countries"),
+            F.count_if(F.col("ftd") > F.col("registrations")).alias("ftd_gt_reg"),
+            F.count_if(F.col("registrations") > F.col("clicks")).alias("reg_gt_clicks"),
+        )
+        .join(known, "player_id", "left")
+        .agg(
+            F.count_if(is_orphan).alias("o_aff"),
+            F.count_if(F.col("n_countries") > 1).alias("multi_country"),
+            F.coalesce(F.sum("ftd_gt_reg"), F.lit(0)).alias("ftd_gt_reg"),
+            F.coalesce(F.sum("reg_gt_clicks"), F.lit(0)).alias("reg_gt_clicks"),
+        )
     )
     pairs = stg_aff.groupBy("affiliate_id", "player_id").agg(F.count("*").alias("n")).agg(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("excess")
     )
-    row = one_row(
-        emails,
-        orphans(stg_sessions, F.sum("n_records"), "o_sessions"),
-        orphans(stg_tx, F.sum("n_records"), "o_tx"),
-        orphans(stg_aff, F.count("*"), "o_aff"),
-        depositors, timing, countries, funnel, pairs,
-    )
+    row = one_row(emails, sessions, depositors, movements, affiliates, pairs)
     base = f"{params.qualified_baseline:f}"
     # Report labels.
     return _findings(row, [

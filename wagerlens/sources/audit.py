@@ -30,6 +30,7 @@ def file_audit(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     Files are read as splittable lines of bytes, whatever their size. The reader drops a byte
     order mark, so its three bytes are what the file has more than its lines and line ends.
+    Spark passes over files of no bytes: such a file is missing from the result.
     """
     text = F.col("value")
     first_visible = F.when(F.trim(text) != "", F.struct("at", F.substring(F.ltrim(text), 1, 1).alias("c")))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 # Sampled rows a key needs before it counts as hot; below it, one task holds the key.
 HOT_SAMPLES = 4
+_FEW_CUTS = 64
 
 
 def _sampled(identity: list[str], chunk_rows: int) -> Column:
@@ -53,6 +54,28 @@ def lookup_join(
     return dealt.drop("_chunks").join(repeated.drop("_chunks"), [key, "_salt"], how).drop("_salt")
 
 
+def _cuts_before(cuts: Column, position: Column) -> Column:
+    """How many of the sorted ``cuts`` are at or before ``position``.
+
+    A day has few cuts as a rule, and comparing with each is cheapest. A key concentrated on one
+    day can have very many there; those are searched by halving.
+    """
+    n = F.size(cuts)
+    each = F.size(F.filter(cuts, lambda cut: cut <= position))
+
+    def halve(span: Column, _: Column) -> Column:
+        lo, hi = span["lo"], span["hi"]
+        mid = F.shiftright(lo + hi, 1)
+        right = F.get(cuts, mid) <= position
+        return F.when(lo >= hi, span).otherwise(
+            F.struct(F.when(right, mid + 1).otherwise(lo).alias("lo"), F.when(right, hi).otherwise(mid).alias("hi"))
+        )
+
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(n + 1)).cast("int") + 1)
+    halved = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), n.alias("hi")), halve)["lo"]
+    return F.when(n <= _FEW_CUTS, each).otherwise(halved)
+
+
 def running_total(
     rows: DataFrame, key: str, order: list[str], value: Column, out: str, chunk_rows: int
 ) -> DataFrame:
@@ -84,8 +107,7 @@ def running_total(
         .join(F.broadcast(cuts), [key, "_day"], "left")
         .withColumn(
             "_part",
-            F.when(F.col("_hot"), F.coalesce(F.size(F.filter("_cuts", lambda cut: cut <= position)), F.lit(0)))
-            .otherwise(F.lit(0)),
+            F.when(F.col("_cuts").isNotNull() & F.col("_hot"), _cuts_before(F.col("_cuts"), position)).otherwise(F.lit(0)),
         )
         .drop("_cuts")
     )

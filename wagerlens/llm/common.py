@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ENCODED_WORDS = 400_000
-"""Words whose pieces a Python worker remembers; beyond that it starts anew (results do not depend on it)."""
+"""A Python worker remembers the pieces of so many words, and of as many it remembered before and still meets."""
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -85,6 +85,7 @@ class WordPieces(dict):
         from tokenizers import Tokenizer
 
         self._encode = Tokenizer.from_file(path).encode
+        self._older: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> "WordPieces":
@@ -94,16 +95,26 @@ class WordPieces(dict):
         return cls._by_path[path]
 
     def __missing__(self, word: str) -> bytes:
+        ids = self._older.get(word)
+        if ids is None:
+            ids = self._new(word)
         if len(self) >= ENCODED_WORDS:
+            self._older = dict(self)
             self.clear()
-        ids = b"".join(i.to_bytes(4, "little") for i in self._encode(word, add_special_tokens=False).ids)
         self[word] = ids
         return ids
 
+    def _new(self, word: str) -> bytes:
+        if word and word[-1] in ".,!?;:" and word[:-1].isalpha() and max(word) < "\u0130":
+            return self[word[:-1]] + self[word[-1]]  # letters and marks are apart before any merge
+        if word and max(word) < "\u0130" and (lower := word.lower()) != word:
+            return self[lower]  # the vocabulary's own first step; beyond Latin it is left to the tokenizer
+        return b"".join(i.to_bytes(4, "little") for i in self._encode(word, add_special_tokens=False).ids)
+
     def encode(self, text: str) -> bytes:
         """The packed ids of a whole text."""
         if text.isascii():
-            text = text.lower()  # the vocabulary's own first step; beyond ASCII it is left to the tokenizer
+            text = text.lower()
         for space in "\n\t\r":
             text = text.replace(space, " ")
         return b"".join(map(self.__getitem__, text.split(" ")))

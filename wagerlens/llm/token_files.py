@@ -3,7 +3,8 @@
 A set of files is a folder with two tables, written and read by Spark, hence whole or absent on any store:
 
 * `dictionary`: one row (dict_hash, content).
-* `blocks`: a row for each run of consecutive documents: shard, block, dict_hash, tokens (in the block),
+* `blocks`: a row for each run of consecutive documents: shard, block, dict_hash, before (tokens in
+  the shard before it), tokens (in the block),
   payload (the documents' frames one after the other) and the index `docs`: doc_id, at and size of the
   frame in the payload, n_tokens.
 
@@ -30,7 +31,7 @@ LEVEL = 3
 _DICTIONARY = "dict_hash string, width int, content binary"
 _FRAMES = "shard int, doc_id long, n_tokens long, frame binary"
 _BLOCKS = (
-    "shard int, block int, dict_hash string, tokens long, payload binary, "
+    "shard int, block int, dict_hash string, before long, tokens long, payload binary, "
     "docs array<struct<doc_id: long, at: long, size: long, n_tokens: long>>"
 )
 
@@ -106,12 +107,12 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int, width
             )
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, number, index, payload, at = None, 0, [], [], 0
+        shard, number, before, index, payload, at = None, 0, 0, [], [], 0
 
         def block() -> pa.RecordBatch:
             row = {
-                "shard": shard, "block": number, "dict_hash": dict_hash, "tokens": sum(d["n_tokens"] for d in index),
-                "payload": b"".join(payload), "docs": index,
+                "shard": shard, "block": number, "dict_hash": dict_hash, "before": before,
+                "tokens": sum(d["n_tokens"] for d in index), "payload": b"".join(payload), "docs": index,
             }
             return pa.RecordBatch.from_pylist([row], _block_schema())
 
@@ -119,7 +120,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int, width
             for one, doc, count, frame in zip(*(c.to_pylist() for c in batch.columns)):
                 if index and (one != shard or at >= BLOCK_BYTES):
                     yield block()
-                    number, index, payload, at = (number + 1 if one == shard else 0), [], [], 0
+                    number, before = (number + 1, before + sum(d["n_tokens"] for d in index)) if one == shard else (0, 0)
+                    index, payload, at = [], [], 0
                 shard = one
                 index.append({"doc_id": doc, "at": at, "size": len(frame), "n_tokens": count})
                 payload.append(frame)
@@ -139,7 +141,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int, width
 def _block_schema() -> pa.Schema:
     doc = pa.struct([(n, pa.int64()) for n in ("doc_id", "at", "size", "n_tokens")])
     return pa.schema([
-        ("shard", pa.int32()), ("block", pa.int32()), ("dict_hash", pa.string()), ("tokens", pa.int64()),
+        ("shard", pa.int32()), ("block", pa.int32()), ("dict_hash", pa.string()), ("before", pa.int64()), ("tokens", pa.int64()),
         ("payload", pa.binary()), ("docs", pa.list_(doc)),
     ])
 
@@ -157,19 +159,14 @@ def _dictionary(content: bytes) -> zstandard.ZstdCompressionDict | None:
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids (packed little-endian unsigned 32-bit) of every document in the files under `path`.
 
-    `start` counts the ids before the document in all files: shards before it (a sum for each shard), blocks
-    before it in its shard, documents before it in its block. Only index columns take part in the sums.
+    `start` counts the ids before the document in all files: those of the shards before it, a sum over a row
+    for each shard, and those of its own shard, which the files tell.
     """
     dict_hash, width, content = _told(spark, path)
     stored = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks")
-    earlier = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     shards = stored.groupBy("shard").agg(F.sum("tokens").alias("tokens"))
     past = F.sum("tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     shards = shards.select("shard", F.coalesce(past, F.lit(0)).alias("past"))  # a row for each shard
-    starts = (
-        stored.select("shard", "block", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("inside"))
-        .join(F.broadcast(shards), "shard").select("shard", "block", (F.col("past") + F.col("inside")).alias("base"))
-    )
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor(dict_data=_dictionary(content)).decompress
@@ -178,20 +175,20 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 if batch.column("dict_hash")[row].as_py() != dict_hash:
                     raise ValueError("a block was written with another dictionary")
                 payload = batch.column("payload")[row].as_buffer().to_pybytes()
-                start, out = 0, []
+                shard, inside, out = batch.column("shard")[row].as_py(), batch.column("before")[row].as_py(), []
                 for doc in batch.column("docs")[row].as_py():
                     ids = expand(payload[doc["at"] : doc["at"] + doc["size"]])
                     ids = ids if width == 4 else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
                     if len(ids) != 4 * doc["n_tokens"]:
                         raise ValueError("a frame does not hold what its index says")
-                    out.append((batch.column("shard")[row].as_py(), batch.column("block")[row].as_py(), doc["doc_id"], start, doc["n_tokens"], ids))
-                    start += doc["n_tokens"]
-                types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                names = ["shard", "block", "doc_id", "inside", "n_tokens", "ids"]
+                    out.append((shard, doc["doc_id"], inside, doc["n_tokens"], ids))
+                    inside += doc["n_tokens"]
+                types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                names = ["shard", "doc_id", "inside", "n_tokens", "ids"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-    ids = stored.mapInArrow(decode, "shard int, block int, doc_id long, inside long, n_tokens long, ids binary")
-    return ids.join(starts, ["shard", "block"]).select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids")
+    ids = stored.mapInArrow(decode, "shard int, doc_id long, inside long, n_tokens long, ids binary")
+    return ids.join(F.broadcast(shards), "shard").select("doc_id", (F.col("past") + F.col("inside")).alias("start"), "n_tokens", "ids")
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> DataFrame:

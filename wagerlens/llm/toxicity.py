@@ -16,6 +16,8 @@ from wagerlens.llm.common import materialize, whole_text
 from wagerlens.llm.quality import LABELLED, labelled_sample
 
 TERMS = 1024
+CHANCE = 10.83
+"""A term counts as telling if its log-likelihood ratio (G squared) is at least this: one in a thousand by chance."""
 STEM = 5
 BLOCK = 64
 _WORD = re.compile(r"[^\W\d_]+")
@@ -60,6 +62,7 @@ def choose_terms(texts: DataFrame, at_most: int = TERMS) -> list[str]:
     share = (F.col("a") + F.col("b")) / float(ones + zeros)
     tells = part(F.col("a"), F.lit(float(ones)), share) + part(F.col("b"), F.lit(float(zeros)), share)
     told = counted.where(F.col("a") * zeros > F.col("b") * ones).where((F.col("a") + F.col("b")) < ones + zeros)
+    told = told.where(2 * tells >= CHANCE)
     return [r.term for r in told.orderBy(tells.desc(), "term").limit(at_most).select("term").collect()]
 
 

@@ -194,9 +194,13 @@ count(*) - count({col}) AS n_nulls, count(DISTINCT {col}) AS n_distinct,
 
 
 def _cardinality(source: str, table: str, col: str) -> str:
-    return f"""SELECT '{source}' AS source, '{col}' AS column_name, count(*) AS n_distinct,
-CASE WHEN count(*) <= 8 THEN string_agg(v, '|' ORDER BY v) END AS members
-FROM (SELECT DISTINCT CAST({col} AS VARCHAR) AS v FROM {table} WHERE {col} IS NOT NULL)"""
+    return f"""SELECT '{source}' AS source, '{col}' AS column_name, count(DISTINCT {col}) AS n_distinct,
+CAST(NULL AS VARCHAR) AS value, CAST(NULL AS BIGINT) AS n FROM {table}"""
+
+
+def _members(source: str, table: str, col: str) -> str:
+    return f"""SELECT '{source}', '{col}', (SELECT count(DISTINCT {col}) FROM {table}), CAST({col} AS VARCHAR), count(*)
+FROM {table} WHERE {col} IS NOT NULL GROUP BY {col}"""
 
 
 def _duplicates(name: str, table: str, cols: str) -> str:
@@ -498,10 +502,10 @@ UNION ALL SELECT 'sessions', count(*), count(*) = count(DISTINCT session_id), 's
 UNION ALL SELECT 'transactions', count(*), count(*) = count(DISTINCT transaction_id), 'txn_ts:timestamp', false FROM transactions
 UNION ALL SELECT 'affiliate', count(*), count(*) = count(DISTINCT affiliate_id), NULL, false FROM affiliate""",
     "cardinalities": _union([
-        _cardinality("players", "players", "player_id"), _cardinality("players", "players", "city"),
-        _cardinality("sessions", "sessions", "device"), _cardinality("sessions", "sessions", "ip"),
-        _cardinality("transactions", "transactions", "transaction_type"),
-        _cardinality("affiliate", "affiliate", "affiliate_id"), _cardinality("affiliate", "affiliate", "country")]),
+        _cardinality("players", "players", "player_id"), _members("players", "players", "city"),
+        _members("sessions", "sessions", "device"), _cardinality("sessions", "sessions", "ip"),
+        _members("transactions", "transactions", "transaction_type"),
+        _cardinality("affiliate", "affiliate", "affiliate_id"), _members("affiliate", "affiliate", "country")]),
     "fact_shape": _union([
         f"""SELECT '{name}' AS source, count(*) AS n_rows, max(CAST({ts} AS DATE)) - min(CAST({ts} AS DATE)) AS span_days,
 count(DISTINCT player_id) AS n_keys FROM {name}""" for name, ts in [("transactions", "txn_ts"), ("sessions", "session_ts")]]),

@@ -180,3 +180,15 @@ def test_column_profile(frame):
     assert (got["s"]["n_distinct"], got["s"]["examples"], got["s"]["categories"]) == (2, "a|b", "a=1|b=2")
     assert (got["n"]["n_nulls"], got["n"]["min_value"], got["n"]["mean_value"], got["n"]["categories"]) == (1, 1.0, 2.0, None)
     assert (got["e"]["n_nulls"], got["e"]["n_distinct"], got["e"]["examples"]) == (3, 0, None)
+
+
+def test_slo_sees_that_every_session_is_an_orphan(frame):
+    players = frame("player_id string, created_at date", ("p1", "2024-01-01"))
+    tx = frame("player_id string, amount decimal(18,2)", ("p1", "5"))
+    sessions = frame("player_id string", ("x",), (None,))
+    aff = frame("ftd bigint, registrations bigint", (1, 2))
+    moves = frame("player_id string, txn_date date", ("p1", "2024-01-02"))
+    got = {r.rule: r.pass_rate for r in q.slo_pass_rates(players, tx, sessions, aff, moves).collect()}
+    assert got["referential integrity"] == 0.0
+    whole = {r.rule: r.pass_rate for r in q.slo_pass_rates(players, tx, sessions.limit(0), aff, moves).collect()}
+    assert set(whole.values()) == {1.0}

@@ -124,3 +124,14 @@ def test_csv_record_audit(spark, tmp_path):
         "delimiter": ";", "n_columns": 3, "n_rows": 4, "ragged_rows": 2, "embedded_newline_fields": 2,
         "invalid_names": "b c", "audit_clashes": "_ingested_at",
     }
+
+
+def test_file_audit_keeps_files_of_one_name_and_empty_ones(spark, tmp_path):
+    for folder in ("a", "b c"):
+        (tmp_path / folder).mkdir()
+    paths = [
+        _write(tmp_path / "a" / "x.csv", b"a\n1\n"), _write(tmp_path / "b c" / "x.csv", b"\xef\xbb\xbfa\n"),
+        _write(tmp_path / "none.csv", b""),
+    ]
+    got = sorted((r.file_name, r.size_bytes, r.has_bom, r.first_char) for r in audit.file_audit(spark, paths).collect())
+    assert got == [("none.csv", 0, False, None), ("x.csv", 4, False, "a"), ("x.csv", 5, True, "a")]

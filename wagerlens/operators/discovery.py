@@ -12,9 +12,6 @@ from wagerlens.functions.scalars import is_type, one_row, stack_union
 from wagerlens.plans.silver import claim_rank
 from wagerlens.schemas import MONEY, TOTAL
 
-_CATEGORY_LIMIT = 8
-_EXAMPLES = 3
-
 
 def _value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column_name, value, n) for every distinct non-NULL value, as text.
@@ -42,8 +39,11 @@ def _smallest_values(counts: DataFrame, k: int) -> DataFrame:
     )
 
 
-def column_profile(df: DataFrame) -> DataFrame:
-    """Per column: type, rows, NULLs, distinct values, examples, numeric range, small category counts."""
+def column_profile(df: DataFrame, examples: int = 3, categories_up_to: int = 8) -> DataFrame:
+    """Per column: type, rows, NULLs, distinct values, the first `examples`, numeric range.
+
+    Text columns of at most `categories_up_to` values also tell how often each occurs.
+    """
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     one_pass = df.agg(
         F.count("*").alias("rows"),
@@ -68,31 +68,31 @@ def column_profile(df: DataFrame) -> DataFrame:
     values = F.transform("heads", lambda h: h["value"])
     pairs = F.transform("heads", lambda h: F.concat(h["value"], F.lit("="), h["n"].cast("string")))
     n_distinct = F.coalesce("n_distinct", F.lit(0))
-    is_category = (n_distinct <= _CATEGORY_LIMIT) & F.col("mean_value").isNull()
+    is_category = (n_distinct <= categories_up_to) & F.col("mean_value").isNull()
     return (
-        basics.join(distinct, "column_name", "left").join(_smallest_values(counts, _CATEGORY_LIMIT), "column_name", "left")
+        basics.join(distinct, "column_name", "left").join(_smallest_values(counts, max(examples, categories_up_to)), "column_name", "left")
         .select(
             "column_name", "data_type", "n_rows", "n_nulls", n_distinct.alias("n_distinct"),
-            F.array_join(F.slice(values, 1, _EXAMPLES), "|").alias("examples"),
+            F.array_join(F.slice(values, 1, examples), "|").alias("examples"),
             "min_value", "max_value", "mean_value",
             F.when(is_category, F.array_join(pairs, "|")).alias("categories"),
         )
     )
 
 
-def cardinalities(named: Mapping[str, tuple[DataFrame, Sequence[str]]], list_up_to: int = _CATEGORY_LIMIT) -> DataFrame:
-    """(source, column_name, n_distinct, members): members are listed, sorted, where they are few."""
+def cardinalities(named: Mapping[str, tuple[DataFrame, Sequence[str], Sequence[str]]]) -> DataFrame:
+    """(source, column_name, n_distinct, value, n): how many values a column has and, where asked, each of them.
 
-    def one(name: str, df: DataFrame, cols: Sequence[str]) -> DataFrame:
-        counts = _value_counts(df, cols)
+    `named` gives a frame, the columns to count and the columns to list. A listed column has a row for
+    every value, however many there are; the others have one row, without a value.
+    """
+
+    def one(name: str, df: DataFrame, counted: Sequence[str], listed: Sequence[str]) -> DataFrame:
+        counts = _value_counts(df, [*counted, *listed])
         sizes = counts.groupBy("column_name").agg(F.count("*").alias("n_distinct"))
-        members = F.array_join(F.transform("heads", lambda h: h["value"]), "|")
-        return (
-            sizes.join(_smallest_values(counts, list_up_to), "column_name")
-            .select(
-                F.lit(name).alias("source"), "column_name", "n_distinct",
-                F.when(F.col("n_distinct") <= list_up_to, members).alias("members"),
-            )
+        members = counts.where(F.col("column_name").isin(*listed))
+        return sizes.join(members, "column_name", "left").select(
+            F.lit(name).alias("source"), "column_name", "n_distinct", "value", "n"
         )
 
     return stack_union([one(name, *spec) for name, spec in named.items()])

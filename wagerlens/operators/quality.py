@@ -205,3 +205,29 @@ def pass_rates(rules: Mapping[str, tuple[DataFrame, Column]]) -> DataFrame:
             for rule, (df, ok) in rules.items()
         ]
     )
+
+
+def slo_pass_rates(
+    players: DataFrame, transactions: DataFrame, sessions: DataFrame, affiliate: DataFrame, movements: DataFrame
+) -> DataFrame:
+    """(rule, pass_rate) of the service levels. Referential integrity is 1 if every row has its player, else 0."""
+
+    def linked(child: DataFrame) -> DataFrame:
+        counts = child.groupBy("player_id").agg(F.count("*").alias("n"))
+        seen = counts.join(players.select("player_id", F.lit(True).alias("known")), "player_id", "left")
+        return seen.agg(F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("orphans"))
+
+    links = linked(transactions).union(linked(sessions)).agg(F.sum("orphans").alias("orphans"))
+    # Movements per player and day meet the registration day: same verdict as row by row.
+    days = movements.groupBy("player_id", "txn_date").agg(F.count("*").alias("n"))
+    timed = days.join(players.select("player_id", "created_at"), "player_id").agg(
+        F.try_divide(
+            F.sum(F.when(F.col("txn_date") >= F.col("created_at"), F.col("n")).otherwise(0)).cast("double"),
+            F.sum("n").cast("double"),
+        ).alias("pass_rate")
+    ).select(F.lit("no transaction before created_at").alias("rule"), "pass_rate")
+    return pass_rates({
+        "referential integrity": (links, F.col("orphans") == 0),
+        "amount > 0": (transactions, F.col("amount") > 0),
+        "ftd <= registrations": (affiliate, F.col("ftd") <= F.col("registrations")),
+    }).union(timed)

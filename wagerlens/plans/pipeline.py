@@ -6,6 +6,7 @@ lost executor or a failed run restarts from files rather than from a long lineag
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -160,6 +161,11 @@ def build_silver(run: Run, stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
     s["ledger"] = run.save("silver", "ledger", silver.player_ledger(tx, run.params))
     checks: list[AnyCheck] = [c for name in s if name != "ledger" for c in _keyed(name, s[name], "player_id")]
     checks += _keyed("ledger", s["ledger"], "transaction_id")
+    for name, col in (
+        ("players_conformed", "email"), ("first_deposit", "first_deposit_ts"), ("qualified_ftd", "is_qualified"),
+        ("attribution", "affiliate_id"), ("ledger", "player_id"),
+    ):
+        checks += _filled(name, s[name], col)
     checks += [
         _refers(f"{name} refers to a player", s[name], "player_id", s["players_conformed"], "player_id")
         for name in ("financials", "activity", "ledger")
@@ -220,7 +226,8 @@ def build_gold(run: Run, stg: dict[str, DataFrame], s: dict[str, DataFrame], ful
     g["fct_sessions"] = run.table("gold", "fct_sessions")
     fraud, dim_player, perf, fct = (g[n] for n in ("fct_fraud_signals", "dim_player", "agg_affiliate_performance", "fct_transactions"))
     run.check([
-        *_keyed("dim_date", g["dim_date"], "date_day"), *_keyed("dim_player", dim_player, "player_id"),
+        *_keyed("dim_date", g["dim_date"], "date_day"), *_filled("dim_date", g["dim_date"], "year_month"),
+        *_keyed("dim_player", dim_player, "player_id"),
         *_filled("dim_player", dim_player, "email", "is_qualified_ftd", "is_one_and_done"),
         *_keyed("dim_affiliate", g["dim_affiliate"], "affiliate_id"),
         _listed("dim_affiliate", g["dim_affiliate"], "primary_country", COUNTRIES),
@@ -228,6 +235,7 @@ def build_gold(run: Run, stg: dict[str, DataFrame], s: dict[str, DataFrame], ful
         *_filled("fct_transactions", fct, "player_id", "transaction_type", "amount", "running_balance"),
         _listed("fct_transactions", fct, "transaction_type", TRANSACTION_TYPES),
         *_keyed("fct_sessions", g["fct_sessions"], "session_id"),
+        *_filled("fct_sessions", g["fct_sessions"], "player_id", "device"),
         _listed("fct_sessions", g["fct_sessions"], "device", DEVICES),
         *_keyed("fct_fraud_signals", fraud, "player_id"),
         *_filled("fct_fraud_signals", fraud, "value_at_risk", "risk_score", "risk_tier"),
@@ -272,12 +280,12 @@ def run_pipeline(
     spark: SparkSession, src_dir: str, out_dir: str, as_of: datetime, params: Params = DEFAULTS,
     full_refresh: bool = False,
 ) -> Run:
-    """One complete run. A failed error-level check raises and leaves later layers as they were.
+    """One complete run. Every attempt has a run id of its own, so one that failed may be repeated. A failed error-level check raises and leaves later layers as they were.
 
     The transaction fact re-reads ``lookback_days`` before its newest row. A movement arriving
     later than that stays out, while balances after it include it, until ``full_refresh=True``.
     """
-    run = Run(configure(spark), out_dir, params, as_of, as_of.strftime("%Y%m%dT%H%M%S%f"))
+    run = Run(configure(spark), out_dir, params, as_of, f"{as_of:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}")
     land_all(spark, src_dir, out_dir, as_of)
     check_raw(run)
     stg = build_bronze(run)

@@ -47,7 +47,9 @@ def silver_discovery(
     )
     known = stg_players.select("player_id", "created_at", F.lit(True).alias("known"))
     is_orphan = F.col("known").isNull() & F.col("player_id").isNotNull()
-    sessions = relationships(stg_sessions, "player_id", stg_players, "player_id").agg(
+    nameless = stg_sessions.where("player_id is null").select(F.lit(1).cast("long").alias("n_records"))
+    # A row without an id has no player either.
+    sessions = relationships(stg_sessions, "player_id", stg_players, "player_id").select("n_records").union(nameless).agg(
         F.coalesce(F.sum("n_records"), F.lit(0)).alias("o_sessions")
     )
     wallet = stg_tx.groupBy("player_id").agg(
@@ -66,7 +68,7 @@ def silver_discovery(
         stg_tx.select("transaction_id", "player_id", "transaction_type", "txn_ts"), facts,
         "player_id", ["transaction_id"], params.chunk_rows,
     ).agg(
-        F.count_if(is_orphan).alias("o_tx"),
+        F.count_if(F.col("known").isNull()).alias("o_tx"),
         F.count_if(F.col("txn_ts") < F.col("created_at").cast("timestamp")).alias("too_early"),
         F.count_if(is_type("withdraw") & (F.col("txn_ts") < F.col("first_deposit_ts"))).alias("unfunded"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,34 +18,41 @@ _DELIMITERS = (",", ";", "\t", "|")
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(paths).select(
         "value",
-        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("file_size"),
         # Order of a line in its file: block offset, then place within the block.
         F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("at"),
     )
 
 
+def _plain_path(path: Column) -> Column:
+    """The same text for a path, whether a reader wrote it with one or three slashes."""
+    return F.regexp_replace(F.url_decode(path), "^([a-z0-9]+):/+", "$1:/")
+
+
 def file_audit(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(file_name, size_bytes, has_bom, has_crlf, valid_utf8, first_char) per file.
 
     Files are read as splittable lines of bytes, whatever their size. The reader drops a byte
     order mark, so its three bytes are what the file has more than its lines and line ends.
-    Spark passes over files of no bytes: such a file is missing from the result.
+    The list of files comes from the folder, so files of no bytes and files of one name count.
     """
     text = F.col("value")
     first_visible = F.when(F.trim(text) != "", F.struct("at", F.substring(F.ltrim(text), 1, 1).alias("c")))
-    per_file = _lines(spark, paths).groupBy("file_name", "file_size").agg(
+    listed = [(path,) for path in spark.read.text(paths).inputFiles()]
+    files = spark.createDataFrame(listed, "path string").select(_plain_path(F.col("path")).alias("path"))
+    per_file = _lines(spark, paths).groupBy(_plain_path(F.col("path")).alias("path"), "file_size").agg(
         F.sum(F.octet_length(text) + 1).alias("line_bytes"),
         F.bool_or(F.endswith(text, F.lit("\r"))).alias("has_crlf"),
         F.bool_and(F.is_valid_utf8(text)).alias("valid_utf8"),
         F.min(first_visible).alias("first"),
     )
-    return per_file.select(
-        "file_name",
-        F.col("file_size").alias("size_bytes"),
+    return files.join(per_file, "path", "left").select(
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        F.coalesce("file_size", F.lit(0)).alias("size_bytes"),
         # One byte less than counted when the last line has no line end.
-        (F.col("file_size") - F.col("line_bytes") >= 2).alias("has_bom"),
-        "has_crlf", "valid_utf8",
+        F.coalesce(F.col("file_size") - F.col("line_bytes") >= 2, F.lit(False)).alias("has_bom"),
+        F.coalesce("has_crlf", F.lit(False)).alias("has_crlf"), F.coalesce("valid_utf8", F.lit(True)).alias("valid_utf8"),
         F.col("first.c").alias("first_char"),
     )
 

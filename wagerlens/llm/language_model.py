@@ -17,7 +17,7 @@ BASE = 1.5  # counts are kept as powers of it
 SEGMENTS = 1024
 _START, _END = b" start", b" end"  # words hold no space
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-_WORDS = 500_000  # a worker's memory of words
+_WORDS = 250_000  # a worker's memory of words
 _CHUNK = 1 << 20
 
 
@@ -131,7 +131,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
                 held[True].append(line[1:])
                 held[False].append(pair_hash(line[:-1], line[1:]))
                 many += len(line)
-                if many > 4 * _CHUNK:
+                if many > 2 * _CHUNK:
                     yield from flush()
                     many = 0
         yield from flush()
@@ -181,7 +181,7 @@ def cutoff(sizes: list[tuple[int, int]], capacity: float) -> int:
     return cut
 
 
-def fit(docs: DataFrame, bits: int = 1 << 29, probes: int = 8, common: int = 1_000_000, weight: float = 0.3) -> tuple[Model, DataFrame]:
+def fit(docs: DataFrame, bits: int = 1 << 28, probes: int = 8, common: int = 500_000, weight: float = 0.3) -> tuple[Model, DataFrame]:
     """A model of all `docs` (text), and the counts (gram, n) of the words that are not among the model's common ones.
 
     `bits`, the filter's size, bounds what is sent to the workers. N-grams enter by descending level as far as the filter
@@ -221,9 +221,10 @@ def fit(docs: DataFrame, bits: int = 1 << 29, probes: int = 8, common: int = 1_0
     packed = np.zeros((SEGMENTS, per // 8), np.uint8)
     for r in filled.toLocalIterator():  # `bits` in all
         packed[r.segment] = np.frombuffer(r.bits, np.uint8)
-    often = words.where(F.col("n") >= common_from).toPandas()  # `common` words at most
-    order = np.argsort(often.gram.to_numpy().view(np.uint64))
-    table = often.gram.to_numpy().view(np.uint64)[order], often.n.to_numpy()[order]
+    often = words.where(F.col("n") >= common_from).toArrow()  # `common` words at most
+    hashes = often.column("gram").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    table = hashes[order], often.column("n").to_numpy()[order]
     middles = middle(np.array([r.level for r in by_level if r.word], np.int64))
     level_total = float(middles @ np.array([r.grams for r in by_level if r.word], np.float64)) if total else 0.0
     model = Model(Filter(packed, probes), total, distinct, level_total, table, common_from, cut, weight)
@@ -255,7 +256,7 @@ def score_texts(docs: DataFrame, training: Column | None = None, modulus: int =
             for row, text in enumerate(batch.column("text")):
                 lines.append(hashes.line(tokens(text.as_py())))
                 size += len(lines[-1])
-                if size > _CHUNK or row == batch.num_rows - 1:
+                if size > _CHUNK // 4 or row == batch.num_rows - 1:
                     yield scored(batch.slice(done, len(lines)), lines, model, known_hash, known_n)
                     done, size, lines = row + 1, 0, []
 

@@ -77,8 +77,10 @@ def linked(fps: DataFrame, max_distance: int = 2) -> DataFrame:
     Where more than CROWD fingerprints agree on a key they are all near one another and pairs would grow with
     the square. For distance 2 those meet at the fingerprints between them: two are within 2 bits exactly
     if some fingerprint is within 1 bit of both, so each one visits the 65 around it, at each of which no more
-    than 65 can meet. For other distances all pairs within the key are compared.
+    than 65 can meet. That holds for distance 2 only, so no other is taken.
     """
+    if max_distance != 2:
+        raise ValueError("crowded keys are only resolved for a distance of 2")
     groups = max_distance + 2
     bounds = [round(64 * i / groups) for i in range(groups + 1)]
     masks = [sum(1 << bit for bit in range(a, b)) for a, b in zip(bounds, bounds[1:])]
@@ -89,7 +91,7 @@ def linked(fps: DataFrame, max_distance: int = 2) -> DataFrame:
     sizes = rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = materialize(rows.join(sizes, ["t", "key"]), "tables")
 
-    small = met.where(F.col("n") <= CROWD) if max_distance == 2 else met
+    small = met.where(F.col("n") <= CROWD)
     left = small.select("t", "key", F.col("fp").alias("a"), F.col("pivots").alias("pa"))
     right = small.select("t", "key", F.col("fp").alias("b"), F.col("pivots").alias("pb"))
     apart = F.array_max(F.zip_with("pa", "pb", lambda x, y: F.abs(x.cast("int") - y.cast("int"))))
@@ -97,8 +99,6 @@ def linked(fps: DataFrame, max_distance: int = 2) -> DataFrame:
         left.join(right, ["t", "key"]).where("a < b").where(apart <= max_distance)
         .where(_distance(F.col("a"), F.col("b")) <= max_distance).select("a", "b").distinct()
     )
-    if max_distance != 2:
-        return pairs
     crowd = met.where(F.col("n") > CROWD).select("fp").distinct()
     around = F.explode(F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(_signed(1 << bit))) for bit in range(64)]))
     meetings = crowd.select("fp", around.alias("between")).groupBy("between").agg(F.collect_set("fp").alias("fps")).where("size(fps) > 1")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -17,7 +18,9 @@ from wagerlens.llm.quality import LABELLED, labelled_sample
 
 TERMS = 1024
 CHANCE = 10.83
-"""A term counts as telling if its log-likelihood ratio (G squared) is at least this: one in a thousand by chance."""
+"""A term counts as telling if its log-likelihood ratio (G squared) is at least this, one in a thousand by chance, and more the
+more terms are tried: at least 2 ln(terms in MET or more texts), where about one term in all would pass by chance."""
+MET = 3
 STEM = 5
 BLOCK = 64
 _WORD = re.compile(r"[^\W\d_]+")
@@ -37,8 +40,10 @@ def words_and_stems(text: str) -> Counter:
 def choose_terms(texts: DataFrame, at_most: int = TERMS) -> list[str]:
     """The terms of labelled `texts` (text, label) that tell most about the label: largest log-likelihood ratio towards label 1.
 
-    Each text counts a term once. Counting is a grouped sum; `at_most` terms reach the driver.
+    Each distinct text counts a term once: copies of a text say no more about its terms than one of them.
+    Counting is a grouped sum; `at_most` terms reach the driver.
     """
+    texts = materialize(texts.select("text", "label", F.sha2("text", 256).alias("digest")).dropDuplicates(["digest", "label"]), "labelled")
     totals = {r.label: r["count"] for r in texts.groupBy("label").count().collect()}
     ones, zeros = totals.get(1, 0), totals.get(0, 0)
     if not ones or not zeros:
@@ -55,6 +60,8 @@ def choose_terms(texts: DataFrame, at_most: int = TERMS) -> list[str]:
             )
 
     counted = texts.select("text", "label").mapInArrow(terms, "term string, a long, b long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    counted = materialize(counted, "terms")
+    tried = counted.where(F.col("a") + F.col("b") >= MET).count()
 
     def part(k, n, p):  # k of n, where the share p is expected
         return F.when(k > 0, k * F.log(k / (n * p))).otherwise(0.0) + F.when(k < n, (n - k) * F.log((n - k) / (n * (1 - p)))).otherwise(0.0)
@@ -62,7 +69,7 @@ def choose_terms(texts: DataFrame, at_most: int = TERMS) -> list[str]:
     share = (F.col("a") + F.col("b")) / float(ones + zeros)
     tells = part(F.col("a"), F.lit(float(ones)), share) + part(F.col("b"), F.lit(float(zeros)), share)
     told = counted.where(F.col("a") * zeros > F.col("b") * ones).where((F.col("a") + F.col("b")) < ones + zeros)
-    told = told.where(2 * tells >= CHANCE)
+    told = told.where(2 * tells >= max(CHANCE, 2 * math.log(max(tried, 1))))
     return [r.term for r in told.orderBy(tells.desc(), "term").limit(at_most).select("term").collect()]
 
 
@@ -137,14 +144,16 @@ class Index:
         """The `k` examples of largest cosine (above 0; of equal ones those with smaller ids) and their cosines, exactly.
 
         A block can hold no cosine above the sum of its terms' largest weights; blocks are opened in
-        descending order of that bound until the k-th best found is above all that remain.
+        descending order of that bound, equal ones by ascending ids, until the k-th best found is above all that
+        remain, or as good as they can be and of a smaller id. Cosines are compared at nine digits.
         """
-        bound = weight @ self.most[at]
+        bound = np.round(weight @ self.most[at], 9)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         best, sims, step, opened = np.zeros(0, np.int64), np.zeros(0), 4, 0
         while opened < len(order):
-            if len(sims) == k and sims[-1] > bound[order[opened]] + 1e-9:
+            left = order[opened]  # of the remaining blocks with this bound, the one with the smallest ids
+            if len(sims) == k and (sims[-1] > bound[left] or sims[-1] == bound[left] and best[-1] < left * BLOCK):
                 break
             some = np.sort(order[opened : opened + step])
             opened, step = opened + step, 2 * step
@@ -159,7 +168,7 @@ class Index:
                 sums[slot[who // BLOCK] * BLOCK + who % BLOCK] += w * self.weights[where]
             hit = np.flatnonzero(sums > 0)
             best = np.concatenate([best, some[hit // BLOCK] * BLOCK + hit % BLOCK])
-            sims = np.concatenate([sims, np.round(sums[hit], 12)])
+            sims = np.concatenate([sims, np.round(sums[hit], 9)])
             top = np.lexsort((best, -sims))[:k]
             best, sims = best[top], sims[top]
         return best, sims

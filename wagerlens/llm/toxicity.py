@@ -150,6 +150,7 @@ class Index:
         bound = np.round(weight @ self.most[at], 9)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
+        slot = np.zeros(len(bound), np.int64)
         best, sims, step, opened = np.zeros(0, np.int64), np.zeros(0), 4, 0
         while opened < len(order):
             left = order[opened]  # of the remaining blocks with this bound, the one with the smallest ids
@@ -157,15 +158,13 @@ class Index:
                 break
             some = np.sort(order[opened : opened + step])
             opened, step = opened + step, 2 * step
-            slot = np.zeros(len(self.most[0]), np.int64)
             slot[some] = np.arange(len(some))
-            sums = np.zeros(len(some) * BLOCK)
-            for t, w in zip(at, weight):
-                from_, to = self.block[t, some], self.block[t, some + 1]
-                many = to - from_
-                where = np.repeat(from_ - np.concatenate([[0], many.cumsum()[:-1]]), many) + np.arange(many.sum())
-                who = self.examples[where]
-                sums[slot[who // BLOCK] * BLOCK + who % BLOCK] += w * self.weights[where]
+            # the postings of all terms in these blocks, term by term
+            from_ = self.block[at[:, None], some].ravel()
+            many = self.block[at[:, None], some + 1].ravel() - from_
+            where = np.repeat(from_ - many.cumsum() + many, many) + np.arange(many.sum())
+            who, w = self.examples[where], np.repeat(np.repeat(weight, len(some)), many)
+            sums = np.bincount(slot[who // BLOCK] * BLOCK + who % BLOCK, w * self.weights[where], len(some) * BLOCK)
             hit = np.flatnonzero(sums > 0)
             best = np.concatenate([best, some[hit // BLOCK] * BLOCK + hit % BLOCK])
             sims = np.concatenate([sims, np.round(sums[hit], 9)])

@@ -18,23 +18,33 @@ CROWD = 64
 """Fingerprints that agree on a table's key are compared in pairs up to this many; more meet at the fingerprints between them."""
 
 
-def fingerprint(text: str, width: int) -> int:
-    """Signed 64-bit SimHash over the shingles of `width` words, repeats included; 0 without a word."""
+def shingle_hashes(text: str, width: int) -> np.ndarray:
+    """XXH64 of the shingles of `width` words of a whole text, repeats included; a shorter text is one shingle, none without a word."""
     words = text.encode("utf-8", "replace").lower().split()  # on bytes: A-Z only, and white space x20, x09-x0D only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     width = min(width, len(words))
-    spans = zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())
+    n = len(words) - width + 1
+    spans = zip(starts[:n].tolist(), ends[width - 1 :].tolist())
     one = xxhash.xxh64_intdigest
-    ones, n = np.zeros(64, np.int64), len(words) - width + 1
-    hashes = np.fromiter((one(joined[a:b], SEED) for a, b in spans), np.uint64, n)
-    for at in range(0, n, 1 << 16):
+    return np.fromiter((one(joined[a:b], SEED) for a, b in spans), np.uint64, n)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Signed 64-bit SimHash: the bits that are set in over half of `hashes`."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
+
+
+def fingerprint(text: str, width: int) -> int:
+    """Signed 64-bit SimHash over the shingles of `width` words, repeats included; 0 without a word."""
+    return majority(shingle_hashes(text, width))
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
@@ -128,6 +138,10 @@ def drop_near(docs: DataFrame, width: int = 3, max_distance: int = 2) -> DataFra
 
     Rows without an id stay. Rows that repeat the smallest id count as one document, of which one row stays.
     """
-    groups = near_groups(docs, width, max_distance).where("doc_id = component_id")
-    named = keep_rows(docs.where("doc_id is not null"), groups).dropDuplicates(["doc_id"])
+    return keep_least(docs, near_groups(docs, width, max_distance))
+
+
+def keep_least(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """One row of `docs` for each component of `groups` (doc_id, component_id), and all rows without an id."""
+    named = keep_rows(docs.where("doc_id is not null"), groups.where("doc_id = component_id")).dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null"))

@@ -298,6 +298,16 @@ def test_filter_tells_levels():
     assert lm.cutoff([(1, 50), (2, 30), (3, 10)], 100) == 1 and lm.cutoff([(1, 50), (2, 30), (3, 10)], 40) == 2
 
 
+def test_no_ngram_is_cut_however_small_a_segment(spark, monkeypatch):
+    """In 4096 bits of filter, and no more, most levels found no place."""
+    monkeypatch.setattr(lm, "_PART", 1 << 12)
+    rng = random.Random(12)
+    texts = [" ".join(f"w{int(rng.expovariate(0.02))}" for _ in range(rng.randint(1, 80))) for _ in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(2)
+    small, large = ({r.doc_id: r.score for r in lm.score_texts(df, bits=bits, probes=16).collect()} for bits in (1 << 12, 1 << 29))
+    assert [small[i] for i in range(300)] == pytest.approx([large[i] for i in range(300)], rel=0.01)
+
+
 # near-duplicates
 
 

@@ -1,12 +1,14 @@
-"""Text likelihood under an n-gram model whose counts live in one log-frequency Bloom filter."""
+"""Text likelihood under an n-gram model whose counts live in a log-frequency Bloom filter, one segment at a time."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +20,8 @@ SEGMENTS = 1024
 _START, _END = b" start", b" end"  # words hold no space
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _WORDS = 250_000  # a worker's memory of words
-_CHUNK = 1 << 20
+_PART = 12 << 20  # bytes of text that are hashed together
+_SHARE = 1 << 20  # bytes of text that a segment is made for
 
 
 def tokens(text: str) -> list[bytes]:
@@ -56,18 +59,18 @@ class WordHashes(dict):
 
 @dataclass(frozen=True)
 class Filter:
-    """SEGMENTS Bloom filters side by side; an n-gram's segment is told by its top bits.
+    """Bloom filters side by side, equally large; an n-gram's row among them is told by its top bits.
 
     An n-gram of quantised count q was added with each level 1..q. Asking level after level until one is
     absent gives q; it can come out too large, never too small, and by d levels with the d-th power of the error rate.
     """
 
-    bits: np.ndarray  # packed, SEGMENTS rows
+    bits: np.ndarray  # packed
     probes: int
 
     def holds(self, grams: np.ndarray, level: int) -> np.ndarray:
         per = np.uint64(self.bits.shape[1] * 8 - 1)
-        rows = (grams >> np.uint64(54)).astype(np.int64) * self.bits.shape[1]
+        rows = segment_of(grams, len(self.bits)) * self.bits.shape[1]
         flat = self.bits.reshape(-1)
         alive = np.arange(len(grams))
         for at in positions(grams, level, self.probes, per):
@@ -88,6 +91,24 @@ class Filter:
         return found
 
 
+    @classmethod
+    def of(cls, grams: np.ndarray, levels: np.ndarray, probes: int) -> "Filter":
+        """One row that holds all levels of all `grams`, of as many bits as they need: at most half of them are set."""
+        need = max(float(levels.sum()) * probes / np.log(2), 8.0)
+        held = np.zeros(1 << int(np.ceil(np.log2(need))), np.uint8)
+        for level in range(1, int(levels.max(initial=0)) + 1):
+            some = grams[levels >= level]
+            every = np.arange(len(some))
+            for at in positions(some, level, probes, np.uint64(len(held) - 1)):
+                held[at(every).astype(np.int64)] = 1
+        return cls(np.packbits(held, bitorder="little")[None], probes)
+
+
+def segment_of(grams: np.ndarray, segments: int) -> np.ndarray:
+    """0 to segments - 1, ascending with the n-gram; up to 2^32 segments."""
+    return ((grams >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
+
+
 def positions(grams: np.ndarray, level: int, probes: int, per: np.uint64):
     """For each probe a function from row numbers to bit positions in the segment."""
     h = _mixed(grams + np.array([level], np.uint64) * _MIX[0])
@@ -102,73 +123,110 @@ def middle(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, np.sqrt(low * high), 0.0)
 
 
-def _level(n: Column) -> Column:
-    return (F.floor(F.log(n.cast("double")) / float(np.log(BASE)) + 1e-9) + 1).cast("int")
+def level_of(n: np.ndarray) -> np.ndarray:
+    """Level 1 for a count of 1, and so on by powers of BASE; 0 for 0."""
+    return np.where(n > 0, np.floor(np.log(np.maximum(n, 1)) / np.log(BASE) + 1e-9) + 1, 0).astype(np.int64)
 
 
-def count_grams(docs: DataFrame) -> DataFrame:
-    """(word, gram, n): how often each word (`word` true) and each bigram occurs, ends included, in whole texts.
+def in_parts(docs: DataFrame) -> DataFrame:
+    """(part, texts, bytes, rows): `docs` (doc_id, held_out, text) by _PART bytes of text, as compressed Arrow data; texts: those to learn from."""
 
-    Tasks count what they read before anything is sent; the rest is a grouped sum of 64-bit identities.
-    """
+    def packed(pieces: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(pieces)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(table)
+        learnt = pc.sum(pc.invert(table.column("held_out"))).as_py() or 0
+        size = pc.sum(pc.binary_length(table.column("text"))).as_py() or 0
+        columns = [pa.array([x], pa.int64()) for x in (int.from_bytes(os.urandom(8), "little") >> 1, learnt, size)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["part", "texts", "bytes", "rows"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, size = [], 0
+        for batch in batches:
+            ends, done = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+            while done < batch.num_rows:
+                before = int(ends[done - 1]) if done else 0
+                stop = min(int(np.searchsorted(ends, before + _PART - size)) + 1, batch.num_rows)
+                pieces.append(batch.slice(done, stop - done))
+                size, done = size + int(ends[stop - 1]) - before, stop
+                if size >= _PART:
+                    yield packed(pieces)
+                    pieces, size = [], 0
+        if pieces:
+            yield packed(pieces)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, many = WordHashes(), 0
-        held: dict[bool, list[np.ndarray]] = {True: [], False: []}
+    return docs.select("doc_id", "held_out", "text").mapInArrow(pack, "part long, texts long, bytes long, rows binary")
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for kind, parts in held.items():
-                grams, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64),) * 2
-                parts.clear()
-                for at in range(0, len(grams), _CHUNK):
-                    g = grams[at : at + _CHUNK].view(np.int64)
-                    columns = [pa.array(np.full(len(g), kind)), pa.array(g), pa.array(n[at : at + _CHUNK].astype(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, ["word", "gram", "n"])
 
-        for batch in batches:
-            for text in batch.column("text"):
-                line = hashes.line(tokens(text.as_py()))
-                held[True].append(line[1:])
-                held[False].append(pair_hash(line[:-1], line[1:]))
-                many += len(line)
-                if many > 2 * _CHUNK:
-                    yield from flush()
-                    many = 0
-        yield from flush()
+@dataclass(frozen=True)
+class Part:
+    """The texts of a part: for each token, ends included, in a row, which of the part's words and bigrams (ascending) it is.
+
+    begins: where each text begins; before: the place of the token before in `words`, -1 at a text's first.
+    """
 
-    counted = docs.select("text").mapInArrow(count, "word boolean, gram long, n long")
-    return counted.groupBy("word", "gram").agg(F.sum("n").alias("n"))
+    rows: pa.Table
+    begins: np.ndarray
+    words: np.ndarray
+    word: np.ndarray
+    pairs: np.ndarray
+    pair: np.ndarray
+
+    @classmethod
+    def read(cls, rows: bytes, hashes: WordHashes) -> "Part":
+        table = pa.ipc.open_stream(rows).read_all()
+        lines = [hashes.line(tokens(text.as_py())) for text in table.column("text")]
+        lengths = np.array([len(x) - 1 for x in lines], np.int64)
+        words = np.concatenate([x[1:] for x in lines])
+        pairs = np.concatenate([pair_hash(x[:-1], x[1:]) for x in lines])
+        del lines
+        return cls(table.select(["doc_id", "held_out"]), lengths.cumsum() - lengths, *np.unique(words, return_inverse=True), *np.unique(pairs, return_inverse=True))
+
+    @property
+    def lengths(self) -> np.ndarray:
+        return np.diff(np.append(self.begins, len(self.word)))
+
+    def learnt(self) -> Iterator[tuple[bool, np.ndarray, np.ndarray]]:
+        """For words, then bigrams: the n-grams and how often the texts to learn from hold them."""
+        train = self.rows.column("held_out").fill_null(True).combine_chunks().to_numpy(zero_copy_only=False) == False  # noqa: E712
+        each = np.repeat(train, self.lengths)
+        yield True, self.words, np.bincount(self.word[each], minlength=len(self.words))
+        yield False, self.pairs, np.bincount(self.pair[each], minlength=len(self.pairs))
 
 
 @dataclass(frozen=True)
 class Model:
-    """What scoring needs; its size does not depend on the corpus.
+    """What is known of the whole corpus; the counts themselves are in `segments`.
 
-    filter: levels of words and of repeated bigrams. total, distinct: tokens and different tokens. level_total: tokens as
-    the levels tell them. common: hashes (sorted) and exact counts of the words that occur `common_from` times or
-    more. cut: the smallest level that the filter holds.
+    segments: (segment, bits), a filter of all levels of all words and bigrams of each segment, as large as these need. total,
+    distinct: tokens and different tokens. level_total: tokens as the levels tell them. texts: how many were learnt.
     """
 
-    filter: Filter
+    segments: DataFrame
     total: int
     distinct: int
     level_total: float
-    common: tuple[np.ndarray, np.ndarray]
-    common_from: int
-    cut: int
+    texts: int
     weight: float
 
-    def score(self, line: np.ndarray, levels: np.ndarray, begun: np.ndarray) -> np.ndarray:
-        """log10 probability of each token of `line` after its first: texts in a row, their start tokens marked in `begun`.
+    def numbers(self) -> tuple[int, float, int, float]:
+        return self.distinct, self.level_total, self.texts, self.weight
+
 
-        A word's probability by itself is smoothed with 0.1 for every word and one unknown. A bigram that the filter
-        holds adds its share of the occurrences of its first word; a start occurs as often as its bigrams say.
-        """
-        counts = middle(levels)
-        alone = (counts[1:] + 0.1) / (self.level_total + 0.1 * (self.distinct + 1))
-        pairs = middle(self.filter.levels(pair_hash(line[:-1], line[1:])))
-        share = np.where(begun[:-1], 0.0, pairs / np.maximum(counts[:-1], np.maximum(pairs, 1)))
-        return np.log10((1 - self.weight) * alone + self.weight * share)
+def log_likelihood(part: Part, words: np.ndarray, pairs: np.ndarray, distinct: int, level_total: float, texts: int, weight: float) -> np.ndarray:
+    """log10 probability of each token of a part, from the levels of its words and bigrams.
+
+    A word's probability by itself is smoothed with 0.1 for every word and one unknown. A bigram that the filter
+    holds adds its share of the occurrences of its first word; starts add none.
+    """
+    counts = middle(words)[part.word]
+    alone = (counts + 0.1) / (level_total + 0.1 * (distinct + 1))
+    both = middle(pairs)[part.pair]
+    before = np.empty(len(counts))
+    before[1:] = counts[:-1]
+    before[part.begins], both[part.begins] = 0, 0
+    return np.log10((1 - weight) * alone + weight * both / np.maximum(before, np.maximum(both, 1)))
 
 
 def cutoff(sizes: list[tuple[int, int]], capacity: float) -> int:
@@ -182,120 +240,120 @@ def cutoff(sizes: list[tuple[int, int]], capacity: float) -> int:
 
 
 def fit(docs: DataFrame, bits: int = 1 << 29, probes: int = 8, common: int = 1_000_000, weight: float = 0.3) -> tuple[Model, DataFrame]:
-    """A model of all `docs` (text), and the counts (gram, n) of the words that are not among the model's common ones.
+    """A model of all `docs` (text; with held_out: of those that are not), and what its segments say to each part of `docs`.
 
-    `bits`, the filter's size, bounds what is sent to the workers. N-grams enter by descending level as far as the filter
-    holds them at its best load; how far, follows from the number of n-grams of each level, by one rule at any size.
-    Bigrams enter from their second occurrence. Each segment is filled by one task from its share of the
-    n-grams, which their hashes deal out evenly.
+    Parts of `docs` send the different n-grams that they hold to the n-grams' segments, with how often they are to be learnt. A
+    segment adds up, makes its filter of as many bits as all levels of all its n-grams need, and answers each
+    part from it. There are as many segments as the corpus needs, none planned for more than `bits`; no task holds more than
+    one, and none is sent to all workers. Words are also answered with their exact counts, whatever `common` is.
+
+    The second frame has part, rows (as from in_parts), and answers, an array of (word, segment, levels, counts).
     """
-    spark = docs.sparkSession
-    counts = materialize(count_grams(docs).where("word or n > 1"), "grams")
-    words = counts.where("word").select("gram", "n")
-    by_level = counts.groupBy("word", _level(F.col("n")).alias("level")).agg(
-        F.count(F.lit(1)).alias("grams"), F.sum("n").alias("n")
-    ).collect()
-    total, distinct = sum(r.n for r in by_level if r.word), sum(r.grams for r in by_level if r.word)
-    per_level: dict[int, int] = {}
-    for r in by_level:
-        per_level[r.level] = per_level.get(r.level, 0) + r.grams * r.level
-    cut = cutoff(list(per_level.items()), bits * np.log(2) / probes)
-    word_cut = cutoff([(r.level, r.grams) for r in by_level if r.word], common)
-    common_from = int(np.ceil(BASE ** (word_cut - 1) - 1e-9))
-
-    per = bits // SEGMENTS
-
-    def fill(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        held = np.zeros(per, np.uint8)
-        grams, levels = table.column("gram").to_numpy().view(np.uint64), table.column("level").to_numpy()
-        for level in range(1, int(levels.max(initial=0)) + 1):
-            some = grams[levels >= level]
-            every = np.arange(len(some))
-            for at in positions(some, level, probes, np.uint64(per - 1)):
-                held[at(every).astype(np.int64)] = 1
-        return pa.table({"segment": pa.array([key[0].as_py()], pa.int32()), "bits": [np.packbits(held, bitorder="little").tobytes()]})
-
-    kept = counts.select("gram", _level(F.col("n")).alias("level")).where(F.col("level") >= cut)
-    kept = kept.select(F.shiftrightunsigned("gram", 54).cast("int").alias("segment"), "gram", "level")
-    filled = materialize(kept.groupBy("segment").applyInArrow(fill, "segment int, bits binary"), "filter")
-    packed = np.zeros((SEGMENTS, per // 8), np.uint8)
-    for r in filled.toLocalIterator():  # `bits` in all
-        packed[r.segment] = np.frombuffer(r.bits, np.uint8)
-    often = words.where(F.col("n") >= common_from).toArrow()  # `common` words at most
-    hashes = often.column("gram").to_numpy().view(np.uint64)
-    order = np.argsort(hashes)
-    table = hashes[order], often.column("n").to_numpy()[order]
-    middles = middle(np.array([r.level for r in by_level if r.word], np.int64))
-    level_total = float(middles @ np.array([r.grams for r in by_level if r.word], np.float64)) if total else 0.0
-    model = Model(Filter(packed, probes), total, distinct, level_total, table, common_from, cut, weight)
-    return model, words.where(F.col("n") < common_from)
+    if "held_out" not in docs.columns:
+        docs = docs.select(F.lit(None).cast("long").alias("doc_id"), F.lit(False).alias("held_out"), "text")
+    parts = materialize(in_parts(docs), "parts")
+    size = parts.agg(F.sum("texts").alias("texts"), F.sum("bytes").alias("bytes")).first()
+    segments = int((size.bytes or 0) // max(1, min(_SHARE, bits * np.log(2) / probes * 3))) + 1  # two n-grams in about six bytes
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        names = ["segment", "part", "word", "grams", "n"]
+        for batch in batches:
+            for part, rows in zip(batch.column("part"), batch.column("rows")):
+                for word, grams, n in Part.read(rows.as_py(), hashes).learnt():
+                    segment = segment_of(grams, segments)
+                    full, from_ = np.unique(segment, return_index=True)
+                    to = np.append(from_[1:], len(grams))
+                    packed = [pa.array([x[a:b].tobytes() for a, b in zip(from_, to)], pa.binary()) for x in (grams, n.astype(np.uint32))]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(full, pa.int64()), pa.array(np.full(len(full), part.as_py()), pa.int64()), pa.array(np.full(len(full), word)), *packed], names
+                    )
+
+    def answer(table: pa.Table) -> pa.Table:
+        parts, kinds = table.column("part").to_pylist(), np.array(table.column("word").to_pylist(), bool)
+        asked = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("grams")]
+        learnt = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("n")]
+        known = {}
+        for kind in (True, False):
+            at = np.flatnonzero(kinds == kind)
+            grams, back = np.unique(np.concatenate([np.zeros(0, np.uint64), *(asked[i] for i in at)]), return_inverse=True)
+            n = np.zeros(len(grams), np.int64)
+            np.add.at(n, back, np.concatenate([np.zeros(0, np.int64), *(learnt[i] for i in at)]).astype(np.int64))
+            known[kind] = at, grams, back, n, level_of(np.where(kind | (n > 1), n, 0))
+        held = Filter.of(*(np.concatenate([known[k][i] for k in (True, False)]) for i in (1, 4)), probes)
+        levels, counts = [b""] * len(parts), [b""] * len(parts)
+        for kind, (at, grams, back, n, _) in known.items():
+            found, done = held.levels(grams).astype(np.uint8), 0
+            for i in at:
+                to = done + len(asked[i])
+                levels[i] = found[back[done:to]].tobytes()
+                counts[i] = n[back[done:to]].tobytes() if kind else b""
+                done = to
+        by_level = np.bincount(known[True][4][known[True][3] > 0])
+        segment = table.column("segment")[0].as_py()
+        return pa.table({
+            "segment": pa.array([segment] * (len(parts) + 1), pa.int64()), "part": pa.array([*parts, None], pa.int64()),
+            "word": pa.array([*kinds.tolist(), None], pa.bool_()), "levels": pa.array([*levels, None], pa.binary()),
+            "counts": pa.array([*counts, None], pa.binary()), "bits": pa.array([None] * len(parts) + [held.bits.tobytes()], pa.binary()),
+            "by_level": pa.array([None] * len(parts) + [by_level.tolist()], pa.list_(pa.int64())),
+            "total": pa.array([None] * len(parts) + [int(known[True][3].sum())], pa.int64()),
+        })
+
+    asked = parts.select("part", "rows").mapInArrow(ask, "segment long, part long, word boolean, grams binary, n binary")
+    answered = materialize(
+        asked.groupBy("segment").applyInArrow(
+            answer, "segment long, part long, word boolean, levels binary, counts binary, bits binary, by_level array<long>, total long"
+        ), "answers",
+    )
+    filters = answered.where("part is null")
+    total = filters.agg(F.sum("total").alias("total")).first().total or 0
+    levels = filters.select(F.posexplode("by_level").alias("level", "words")).groupBy("level").agg(F.sum("words").alias("words")).orderBy("level").collect()
+    level_total = float(middle(np.array([r.level for r in levels], np.int64)) @ np.array([r.words for r in levels], np.float64)) if total else 0.0
+    model = Model(filters.select("segment", "bits"), total, sum(r.words for r in levels), level_total, size.texts or 0, weight)
+    said = answered.where("part is not null").groupBy("part").agg(F.collect_list(F.struct("word", "segment", "levels", "counts")).alias("answers"))
+    return model, parts.select("part", "rows").join(said, "part")
 
 
 def score_texts(docs: DataFrame, training: Column | None = None, modulus: int = 10, **settings) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of `docs`.
 
     The model learns from the rows where crc32 of the id is no multiple of `modulus`, or where `training` holds.
-    base_score is exact: common words are counted from a table of bounded size; the few tokens of other words are sent
-    to meet their counts in a join, so no count is missed however many different words a corpus has.
+    base_score is exact. score uses the filter's levels of all words and of bigrams from their second occurrence.
 
     A null or empty text is one end. Repeated rows are learnt as often as they occur and scored alike. With nothing
     to learn from, all tokens are unknown. An empty table gives no row.
     """
-    spark = docs.sparkSession
     held_out = ~training if training is not None else id_crc() % modulus == 0
     docs = whole_text(docs.select("doc_id", "text", held_out.alias("held_out")), "held_out")
-    fitted, rare = fit(docs.where("not held_out"), **settings)
-    shared = spark.sparkContext.broadcast(fitted)
+    fitted, said = fit(docs.withColumn("doc_id", F.col("doc_id").cast("long")), **settings)
+    total, numbers = fitted.total, fitted.numbers()
+    size = float(np.log10(fitted.total + 0.1 * (fitted.distinct + 1)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, model = WordHashes(), shared.value
-        known_hash, known_n = model.common
+        hashes = WordHashes()
         for batch in batches:
-            lines: list[np.ndarray] = []
-            done, size = 0, 0
-            for row, text in enumerate(batch.column("text")):
-                lines.append(hashes.line(tokens(text.as_py())))
-                size += len(lines[-1])
-                if size > _CHUNK // 4 or row == batch.num_rows - 1:
-                    yield scored(batch.slice(done, len(lines)), lines, model, known_hash, known_n)
-                    done, size, lines = row + 1, 0, []
-
-    def scored(rows, lines, model, known_hash, known_n) -> pa.RecordBatch:
-        flat, lengths = np.concatenate(lines), np.array([len(x) for x in lines])
-        firsts = np.concatenate([[0], lengths.cumsum()[:-1]])
-        begun = np.zeros(len(flat), bool)
-        begun[firsts] = True
-        unique, back = np.unique(flat, return_inverse=True)
-        at = np.minimum(np.searchsorted(known_hash, unique), max(len(known_hash) - 1, 0))
-        n = np.where(known_hash[at] == unique, known_n[at], 0) if len(known_hash) else np.zeros(len(unique), np.int64)
-        logs = np.where(begun, 0.0, np.where(n > 0, np.log10(n + 0.1), 0.0)[back])
-        seen = (n > 0)[back] & ~begun
-        levels = np.where(begun, 0, model.filter.levels(unique)[back])
-        each = np.zeros(len(flat))
-        each[1:] = model.score(flat, levels, begun)
-        each[begun] = 0
-        rest = [line[1:][~seen[a + 1 : a + len(line)]].view(np.int64) for a, line in zip(firsts, lines)]
-        add = lambda x: np.add.reduceat(x, firsts)
+            for rows, answers in zip(batch.column("rows"), batch.column("answers")):
+                yield scored(Part.read(rows.as_py(), hashes), answers.values)
+
+    def scored(part: Part, answers: pa.StructArray) -> pa.RecordBatch:
+        kinds, segments = answers.field("word").to_numpy(zero_copy_only=False).astype(bool), answers.field("segment").to_numpy()
+
+        def joined(field: str, kind: bool, dtype: type) -> np.ndarray:  # segments ascend with their n-grams
+            at = np.flatnonzero(kinds == kind)
+            column = answers.field(field)
+            return np.frombuffer(b"".join(column[int(i)].as_py() for i in at[np.argsort(segments[at])]), dtype)
+
+        n = joined("counts", True, np.int64)
+        levels = [joined("levels", kind, np.uint8).astype(np.int64) for kind in (True, False)]
+        add = lambda x: np.add.reduceat(x, part.begins)
+        held_out, ids = (part.rows.column(c).combine_chunks() for c in ("held_out", "doc_id"))
         return pa.RecordBatch.from_arrays(
             [
-                rows.column("doc_id"), rows.column("held_out"), pa.array(lengths - 1), pa.array(add(seen.astype(np.int64))),
-                pa.array(add(logs)), pa.array(rest, pa.list_(pa.int64())), pa.array(add(each)),
+                ids, held_out, pa.array(part.lengths), pa.array(add((n > 0)[part.word].astype(np.int64))), pa.array(np.full(len(ids), total, np.int64)),
+                pa.array(add(np.log10(n + 0.1)[part.word] - size)), pa.array(add(log_likelihood(part, *levels, *numbers))),
             ],
-            ["doc_id", "held_out", "n_tokens", "n_common", "log_common", "rest", "score"],
+            ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
 
-    schema = "doc_id long, held_out boolean, n_tokens long, n_common long, log_common double, rest array<long>, score double"
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text")
-    first = materialize(ids.mapInArrow(score, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
-    asked = first.select("row", F.explode("rest").alias("gram"))
-    met = (
-        asked.join(rare, "gram").groupBy("row")
-        .agg(F.count(F.lit(1)).alias("n_rare"), F.sum(F.log10(F.col("n") + F.lit(0.1))).alias("log_rare"))
-    )
-    n_rare, log_rare = F.coalesce("n_rare", F.lit(0)), F.coalesce("log_rare", F.lit(0.0))
-    unknown = F.size("rest") - n_rare
-    size = float(np.log10(fitted.total + 0.1 * (fitted.distinct + 1)))
-    return first.join(met, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_common") + n_rare).alias("n_known"), F.lit(fitted.total).cast("long").alias("train_tokens"),
-        (F.col("log_common") + log_rare - unknown - F.col("n_tokens") * F.lit(size)).alias("base_score"), "score",
-    )
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return said.select("rows", "answers").mapInArrow(score, schema)

@@ -308,6 +308,34 @@ def test_no_ngram_is_cut_however_small_a_segment(spark, monkeypatch):
     assert [small[i] for i in range(300)] == pytest.approx([large[i] for i in range(300)], rel=0.01)
 
 
+def plain_scores(texts, train, weight=0.3):
+    """The model's scores with levels told without a filter."""
+    lines = [[b" start", *lm.tokens(t), b" end"] for t in texts]
+    counts, pairs = {}, {}
+    for line in (x for x, t in zip(lines, train) if t):
+        for a, b in zip(line, line[1:]):
+            counts[b] = counts.get(b, 0) + 1
+            pairs[a, b] = pairs.get((a, b), 0) + 1
+    told = lambda n: float(lm.middle(lm.level_of(np.array([n])))[0])
+    all_told = sum(map(told, counts.values()))
+    out = []
+    for line in lines:
+        total = 0
+        for a, b in zip(line, line[1:]):
+            both, before = told(pairs.get((a, b), 0)), sum(train) if a == b" start" else told(counts.get(a, 0))
+            total += np.log10((1 - weight) * (told(counts.get(b, 0)) + 0.1) / (all_told + 0.1 * (len(counts) + 1)) + weight * both / max(before, both, 1))
+        out.append(total)
+    return out
+
+
+def test_bigrams_met_once_and_starts_count(spark):
+    rng = random.Random(12)
+    texts = [" ".join(f"w{int(rng.expovariate(0.02))}" for _ in range(rng.randint(1, 80))) for _ in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(2)
+    got = {r.doc_id: r.score for r in lm.score_texts(df, F.col("doc_id") % 5 > 0, probes=16).collect()}
+    assert [got[i] for i in range(300)] == pytest.approx(plain_scores(texts, [i % 5 > 0 for i in range(300)]), rel=0.01)
+
+
 # near-duplicates
 
 

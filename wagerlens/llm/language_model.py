@@ -218,14 +218,14 @@ def log_likelihood(part: Part, words: np.ndarray, pairs: np.ndarray, distinct: i
     """log10 probability of each token of a part, from the levels of its words and bigrams.
 
     A word's probability by itself is smoothed with 0.1 for every word and one unknown. A bigram that the filter
-    holds adds its share of the occurrences of its first word; starts add none.
+    holds adds its share of the occurrences of its first word; a start occurs once in each text learnt.
     """
     counts = middle(words)[part.word]
     alone = (counts + 0.1) / (level_total + 0.1 * (distinct + 1))
     both = middle(pairs)[part.pair]
     before = np.empty(len(counts))
     before[1:] = counts[:-1]
-    before[part.begins], both[part.begins] = 0, 0
+    before[part.begins] = texts
     return np.log10((1 - weight) * alone + weight * both / np.maximum(before, np.maximum(both, 1)))
 
 
@@ -279,7 +279,7 @@ def fit(docs: DataFrame, bits: int = 1 << 29, probes: int = 8, common: int = 1_0
             grams, back = np.unique(np.concatenate([np.zeros(0, np.uint64), *(asked[i] for i in at)]), return_inverse=True)
             n = np.zeros(len(grams), np.int64)
             np.add.at(n, back, np.concatenate([np.zeros(0, np.int64), *(learnt[i] for i in at)]).astype(np.int64))
-            known[kind] = at, grams, back, n, level_of(np.where(kind | (n > 1), n, 0))
+            known[kind] = at, grams, back, n, level_of(n)
         held = Filter.of(*(np.concatenate([known[k][i] for k in (True, False)]) for i in (1, 4)), probes)
         levels, counts = [b""] * len(parts), [b""] * len(parts)
         for kind, (at, grams, back, n, _) in known.items():
@@ -318,7 +318,7 @@ def score_texts(docs: DataFrame, training: Column | None = None, modulus: int =
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of `docs`.
 
     The model learns from the rows where crc32 of the id is no multiple of `modulus`, or where `training` holds.
-    base_score is exact. score uses the filter's levels of all words and of bigrams from their second occurrence.
+    base_score is exact. score uses the filter's levels of all words and bigrams, those that occur once included.
 
     A null or empty text is one end. Repeated rows are learnt as often as they occur and scored alike. With nothing
     to learn from, all tokens are unknown. An empty table gives no row.

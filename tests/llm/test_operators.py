@@ -482,6 +482,18 @@ def test_repeated_kmers_are_numbered(spark):
     assert 0.5 < np.mean(np.array(s[0]) == np.array(s[1])) < 1 and s[0] != s[2]
 
 
+def test_near_copies_agree_at_any_length_and_without_spaces(spark):
+    rng = random.Random(13)
+    base = words(rng, 100)[:245].rstrip()
+    solid = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(400))
+    pairs = [(base, base + " and some more"), (solid, solid[:150] + "x" + solid[151:]), (solid, "xy" + solid), ("k " + solid, "k " + solid[:300])]
+    assert len(base) < 256 <= len(base + " and some more")
+    df = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "k int, a string, b string")
+    like = order_minhash.likeness(order_minhash.signature(F.col("a"), sketches=64), order_minhash.signature(F.col("b"), sketches=64))
+    got = {r.k: r.x for r in df.select("k", like.alias("x")).collect()}
+    assert all(got[k] > 0.3 for k in range(len(pairs)))
+
+
 # mixing
 
 

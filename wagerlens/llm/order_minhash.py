@@ -27,11 +27,13 @@ def _pack(hashed: Column, position: Column) -> Column:
     return hashed.bitwiseAND(F.lit(~_LAST)).bitwiseOR(position.cast("long"))
 
 
-def signature(text: Column, sketches: int = 24, tuple_size: int = 2, sample: int = 48, words: int = 3, characters: int = 5, short: int = 256) -> Column:
+def signature(text: Column, sketches: int = 24, tuple_size: int = 2, sample: int = 48, words: int = 3, characters: int = 5, short: int = 256, unspaced: int = 24) -> Column:
     """`sketches` numbers for a whole text; equal texts have equal ones.
 
-    A k-mer is `words` words in a row, or, in texts of fewer than `short` characters, `characters` characters in a
-    row; a text with less is one k-mer. A k-mer that occurs again is numbered, so repeated ones stay apart. A
+    A text's units are its words; a word of `unspaced` characters or more is that many units of one character. A k-mer is
+    `words` units in a row, or `characters` of them if the first is a single character; the last ones of a text are as long
+    as it lasts, and a text with fewer than `words` units is one k-mer. What a k-mer is depends on its place alone and not on the text's
+    length, so texts of any lengths share those of equal passages; `short` has no effect. A k-mer that occurs again is numbered, so repeated ones stay apart. A
     hash of k-mer and number orders them; the `sample` smallest stand for the text. Each sketch orders those
     by a hash of its own, takes the `tuple_size` smallest, puts them back into the order of the text and hashes
     the tuple. Two texts agree in a sketch if they share the k-mers and their order.
@@ -39,13 +41,13 @@ def signature(text: Column, sketches: int = 24, tuple_size: int = 2, sample: int
     Numbers are found by sorting (hash, position) pairs: equal k-mers form a run, in text order, and are
     numbered along it. Hashes have 40 bits here; positions beyond 2^24 count as one.
     """
-    small = F.length(text) < short
-    units = F.when(small, F.split(text, "")).otherwise(F.split(text, r"[ \t\n\x0B\f\r]+"))
-    parts = F.struct(units.alias("units"), F.when(small, characters).otherwise(words).alias("size"))
+    spaced = F.split(text, r"[ \t\n\x0B\f\r]+")
+    units = F.flatten(F.transform(spaced, lambda w: F.when(F.length(w) < unspaced, F.array(w)).otherwise(F.split(w, ""))))
 
-    def kmers(p: Column) -> Column:
-        at = F.sequence(F.lit(1), F.greatest(F.size(p.getField("units")) - p.getField("size") + 1, F.lit(1)))
-        return F.transform(at, lambda i: _pack(F.xxhash64(F.slice(p.getField("units"), i, p.getField("size"))), F.least(i, F.lit(_LAST))))
+    def kmers(u: Column) -> Column:
+        at = F.sequence(F.lit(1), F.greatest(F.size(u) - words + 1, F.lit(1)))
+        many = lambda i: F.when(F.length(F.get(u, i - 1)) == 1, characters).otherwise(words)
+        return F.transform(at, lambda i: _pack(F.xxhash64(F.slice(u, i, many(i))), F.least(i, F.lit(_LAST))))
 
     def numbered(s: Column) -> Column:
         def begins(j: Column) -> Column:
@@ -70,7 +72,7 @@ def signature(text: Column, sketches: int = 24, tuple_size: int = 2, sample: int
     def sketched(chosen: Column) -> Column:
         return F.transform(F.sequence(F.lit(1), F.lit(sketches)), lambda i: sketch(chosen, i))
 
-    chosen = _let(parts, lambda p: _let(F.sort_array(kmers(p)), lambda s: F.slice(F.sort_array(numbered(s)), 1, sample)))
+    chosen = _let(units, lambda u: _let(F.sort_array(kmers(u)), lambda s: F.slice(F.sort_array(numbered(s)), 1, sample)))
     return _let(chosen, sketched)
 
 

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import shutil
 import tempfile
 import uuid
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ENCODED_WORDS = 400_000
-"""A Python worker remembers the pieces of so many words, and of as many it remembered before and still meets."""
+"""A Python worker remembers the ids of so many runs, and of as many it remembered before and still meets."""
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -70,11 +73,34 @@ def keep_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
 
 
+# Letters, numbers and white space below U+0130, as the tokenizers tell them apart.
+_L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-\u012f", "0-9²³¹¼½¾", "\\t-\\r \x85\xa0"
+# How the vocabularies' own patterns cut a text, for such characters.
+_TAILS = "'s|'t|'re|'ve|'m|'ll|'d"
+_WORD_END = re.compile(f"{_TAILS}|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
+_BYTE_LEVEL = re.compile(f"{_TAILS}| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_PLAIN = "\u0130"
+"""Texts with characters from here on are left to the tokenizer: case, composition and classes get involved."""
+
+
+def _byte_characters() -> list[str]:
+    """The characters by which byte-level vocabularies write the 256 bytes: printable ones as they are, others from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = iter(range(256))
+    return [chr(b) if b in shown else chr(0x100 + next(hidden)) for b in range(256)]
+
+
+BYTE_CHARACTERS = _byte_characters()
+_BYTES = dict(enumerate(BYTE_CHARACTERS))
+
+
 class WordPieces(dict):
-    """White-space separated word -> its ids, packed as little-endian unsigned 32-bit integers.
+    """A run of characters that no merge crosses -> its ids, packed as little-endian unsigned 32-bit integers.
 
-    The vocabularies used here never join characters across white space, hence a text's ids are
-    the ids of its words in a row, and each word needs the tokenizer once.
+    The vocabulary's pattern cuts a text into such runs, so a text's ids are those of its runs in a row, and
+    each run needs the tokenizer's model once. What the cut depends on is taken from the file: the vocabulary
+    with word ends lower-cases and drops white space, the byte-level one keeps every byte. Texts that may
+    hold a special token, or characters whose case or class needs the tokenizer's own tables, go to it.
     """
 
     _by_path: dict[str, "WordPieces"] = {}
@@ -84,8 +110,12 @@ class WordPieces(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._encode = Tokenizer.from_file(path).encode
+        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenize = self._tokenizer.model.tokenize
         self._older: dict[str, bytes] = {}
+        spec = json.loads(self._tokenizer.to_str())
+        self._lower = spec["normalizer"] is not None
+        self._runs = (_WORD_END if self._lower else _BYTE_LEVEL).findall
 
     @classmethod
     def of(cls, path: str) -> "WordPieces":
@@ -94,30 +124,34 @@ class WordPieces(dict):
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self._older.get(word)
+    def __missing__(self, run: str) -> bytes:
+        ids = self._older.get(run)
         if ids is None:
-            ids = self._new(word)
+            found = self._tokenize(run.encode().decode("latin-1").translate(_BYTES))
+            ids = b"".join([t.id.to_bytes(4, "little") for t in found])
         if len(self) >= ENCODED_WORDS:
             self._older = dict(self)
             self.clear()
-        self[word] = ids
+        self[run] = ids
         return ids
 
-    def _new(self, word: str) -> bytes:
-        if word and word[-1] in ".,!?;:" and word[:-1].isalpha() and max(word) < "\u0130":
-            return self[word[:-1]] + self[word[-1]]  # letters and marks are apart before any merge
-        if word and max(word) < "\u0130" and (lower := word.lower()) != word:
-            return self[lower]  # the vocabulary's own first step; beyond Latin it is left to the tokenizer
-        return b"".join(i.to_bytes(4, "little") for i in self._encode(word, add_special_tokens=False).ids)
+    def _whole(self, text: str) -> bytes:
+        ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """The packed ids of a whole text."""
-        if text.isascii():
+        if "<|" in text:
+            return self._whole(text)
+        if text and not text.isascii() and max(text) >= _PLAIN:
+            if not self._lower:
+                return self._whole(text)
+            for space in "\n\t\r":
+                text = text.replace(space, " ")
+            return b"".join([self._whole(w) if max(w) >= _PLAIN else self.encode(w) for w in text.split(" ") if w])
+        if self._lower:
             text = text.lower()
-        for space in "\n\t\r":
-            text = text.replace(space, " ")
-        return b"".join(map(self.__getitem__, text.split(" ")))
+        return b"".join(map(self.__getitem__, self._runs(text)))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A rolling hash over the last bytes cuts a text wherever the hash says so, so a passage is cut alike wherever it
 stands. Chunks met more than once are shuffled by their hash, encoded once, and their ids sent back to
-the documents; the rest is encoded where it lies. A cut ignores words, so ids beside a join may be wrong: the
+their documents, whose other chunks meet them there; a document that shares nothing is encoded where it lies. A cut ignores words, so ids beside a join may be wrong: the
 text around each join is encoded again, from one place where no pretoken can cross to another.
 
 This is for byte-level vocabularies, whose pretokens never hold white space behind other characters and
@@ -71,6 +71,16 @@ def cuts(raw: bytes) -> list[int]:
     return out
 
 
+ROWS = 256
+"""Documents that a task holds as Python values at a time."""
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _pieces(raw: bytes) -> list[bytes]:
     ends = cuts(raw)
     return [raw[a:b] for a, b in zip([0, *ends], ends)]
@@ -120,13 +130,13 @@ def encode_repeated(docs: DataFrame, vocabulary: str, bits: Broadcast) -> DataFr
     """chunk (hash) and ids (two bytes each) of every repeated chunk, once."""
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             found = {d: p for t in batch.column("text") for p, d, often in _hashed(t.as_py().encode(), bits.value) if often}
             yield _batch(list(found.items()), ["chunk", "piece"], [pa.binary(), pa.binary()])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = WordPieces.of(vocabulary).encode
-        for batch in batches:
+        for batch in _slices(batches):
             ids = [_narrow(of(p.decode())) for p in batch.column("piece").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(ids, pa.binary())], ["chunk", "ids"])
 
@@ -151,30 +161,36 @@ def token_bytes(vocabulary: str) -> list[bytes]:
     return out
 
 
-class Joiner:
-    """Puts the ids of a text's pieces together, as if the text had been encoded whole."""
+class Decoder:
+    """Bytes of ids; one of each kind and vocabulary per Python worker."""
 
-    _by_path: dict[str, Joiner] = {}
+    _made: dict[tuple[type, str], Decoder] = {}
 
     def __init__(self, vocabulary: str):
-        self._encode = WordPieces.of(vocabulary).encode
         self.tokens = token_bytes(vocabulary)
-        self._sizes = np.array([len(t) for t in self.tokens], np.int64)
 
     @classmethod
-    def of(cls, vocabulary: str) -> Joiner:
-        """One per Python worker."""
-        if vocabulary not in cls._by_path:
-            cls._by_path[vocabulary] = cls(vocabulary)
-        return cls._by_path[vocabulary]
-
-    def ids(self, raw: bytes) -> np.ndarray:
-        return np.frombuffer(self._encode(raw.decode()), "<u4").astype("<u2")
+    def of(cls, vocabulary: str):
+        if (cls, vocabulary) not in cls._made:
+            cls._made[cls, vocabulary] = cls(vocabulary)
+        return cls._made[cls, vocabulary]
 
     def decode(self, ids: np.ndarray) -> bytes:
         tokens = self.tokens
         return b"".join([tokens[i] for i in ids.tolist()])
 
+
+class Joiner(Decoder):
+    """Puts the ids of a text's pieces together, as if the text had been encoded whole."""
+
+    def __init__(self, vocabulary: str):
+        super().__init__(vocabulary)
+        self._encode = WordPieces.of(vocabulary).encode
+        self._sizes = np.array([len(t) for t in self.tokens], np.int64)
+
+    def ids(self, raw: bytes) -> np.ndarray:
+        return np.frombuffer(self._encode(raw.decode()), "<u4").astype("<u2")
+
     def join(self, parts: list[tuple[bytes, np.ndarray]]) -> np.ndarray:
         """Ids of the concatenated texts, from each part's own text and ids.
 
@@ -232,7 +248,7 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     ids = whole_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 raw = text.encode()
@@ -241,42 +257,54 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
             yield _batch(rows, ["doc_id", "own", "at", "chunk"], [pa.int64(), pa.binary(), pa.int32(), pa.binary()])
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
+        press = zstandard.ZstdCompressor(level=3).compress
+        for batch in _slices(batches):
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 raw = text.encode()
                 pieces = [(p, often) for p, _, often in _hashed(raw, bits.value)]
-                sizes = [0 if often else len(p) for p, often in pieces]
-                rows.append((doc, hashlib.sha256(raw).digest(), sizes, press(b"".join(p for p, often in pieces if not often))))
+                if any(often for _, often in pieces):
+                    sizes = [0 if often else len(p) for p, often in pieces]
+                    rows.append((doc, hashlib.sha256(raw).digest(), sizes, press(b"".join(p for p, often in pieces if not often))))
             types = [pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.binary()]
             yield _batch(rows, ["doc_id", "own", "sizes", "rest"], types)
 
+    def done(rows: list[tuple[int, np.ndarray, bytes]], joiner: Joiner) -> pa.RecordBatch:
+        for doc, whole, own in rows:
+            if hashlib.sha256(joiner.decode(whole)).digest() != own:
+                raise ArithmeticError(f"the ids of document {doc} do not give back its text")
+        found = [(doc, whole.astype("<u4").tobytes(), own.hex()) for doc, whole, own in rows]
+        return _batch(found, ["doc_id", "ids", "text_sha256"], [pa.int64(), pa.binary(), pa.string()])
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        joiner = Joiner.of(vocabulary)
+        for batch in _slices(batches):
+            rows = []
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                raw = text.encode()
+                if not any(often for _, _, often in _hashed(raw, bits.value)):
+                    rows.append((doc, joiner.ids(raw), hashlib.sha256(raw).digest()))
+            yield done(rows, joiner)
+
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         joiner, expand = Joiner.of(vocabulary), zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            docs_, packed, shas = [], [], []
+        for batch in _slices(batches):
+            rows = []
             for row in batch.to_pylist():
-                raw, shared = expand(row["rest"]), {s["at"]: s["ids"] for s in row["shared"] or ()}
+                raw, shared = expand(row["rest"]), {s["at"]: s["ids"] for s in row["shared"]}
                 parts, at, run = [], 0, 0
                 for i, size in enumerate(row["sizes"]):
-                    if size:  # neighbours that nobody else has are one part
-                        at += size
-                    else:
+                    at += size
+                    if not size:  # neighbours that nobody else has are one part
                         if at > run:
                             parts.append((raw[run:at], joiner.ids(raw[run:at])))
-                            run = at
+                        run = at
                         known = np.frombuffer(shared[i], "<u2")
                         parts.append((joiner.decode(known), known))
                 if at > run:
                     parts.append((raw[run:at], joiner.ids(raw[run:at])))
-                whole = joiner.join(parts) if parts else np.zeros(0, "<u2")
-                if hashlib.sha256(joiner.decode(whole)).digest() != row["own"]:
-                    raise ArithmeticError(f"the ids of document {row['doc_id']} do not give back its text")
-                docs_.append(row["doc_id"])
-                packed.append(whole.astype("<u4").tobytes())
-                shas.append(row["own"].hex())
-            yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array(packed, pa.binary()), pa.array(shas)], ["doc_id", "ids", "text_sha256"])
+                rows.append((row["doc_id"], joiner.join(parts), row["own"]))
+            yield done(rows, joiner)
 
     once = encode_repeated(docs, vocabulary, bits)
     met = ids.mapInArrow(links, "doc_id long, own binary, at int, chunk binary").join(once, "chunk")
@@ -284,8 +312,9 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     shared = shared.select(F.col("doc_id").alias("shared_id"), F.col("own").alias("shared_own"), "shared")
     whole = ids.mapInArrow(rest, "doc_id long, own binary, sizes array<int>, rest binary")
     same = F.col("doc_id").eqNullSafe(F.col("shared_id")) & (F.col("own") == F.col("shared_own"))
-    joined = whole.join(shared, same, "left").select("doc_id", "own", "sizes", "rest", "shared")
-    return joined.mapInArrow(finish, "doc_id long, ids binary, text_sha256 string")
+    joined = whole.join(shared, same).select("doc_id", "own", "sizes", "rest", "shared")
+    out = "doc_id long, ids binary, text_sha256 string"
+    return ids.mapInArrow(alone, out).unionByName(joined.mapInArrow(finish, out))
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str) -> DataFrame:
@@ -293,8 +322,8 @@ def decode_documents(encoded: DataFrame, vocabulary: str) -> DataFrame:
     ship_package(encoded.sparkSession)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        back = Joiner.of(vocabulary).decode
-        for batch in batches:
+        back = Decoder.of(vocabulary).decode
+        for batch in _slices(batches):
             texts = [back(np.frombuffer(i or b"", "<u4")).decode("utf-8", "replace") for i in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
@@ -305,14 +334,14 @@ def bpe_digest(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (decimal ids joined by commas) and decoded_sha256 of every row, ids encoded and decoded again."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        joiner = Joiner.of(vocabulary)
-        decimal = [str(i).encode() for i in range(len(joiner.tokens))]
+        decoder = Decoder.of(vocabulary)
+        decimal = [str(i).encode() for i in range(len(decoder.tokens))]
         sha = hashlib.sha256
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for doc, packed in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
                 ids = np.frombuffer(packed, "<u4")
-                text = joiner.decode(ids).decode("utf-8", "replace").encode()
+                text = decoder.decode(ids).decode("utf-8", "replace").encode()
                 written = b",".join([decimal[i] for i in ids.tolist()])
                 rows.append((doc, len(ids), sha(written).hexdigest(), sha(text).hexdigest()))
             types = [pa.int64(), pa.int64(), pa.string(), pa.string()]

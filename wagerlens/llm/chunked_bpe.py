@@ -5,15 +5,17 @@ stands. Chunks met more than once are shuffled by their hash, encoded once, and
 their documents, whose other chunks meet them there; a document that shares nothing is encoded where it lies. A cut ignores words, so ids beside a join may be wrong: the
 text around each join is encoded again, from one place where no pretoken can cross to another.
 
-This is for byte-level vocabularies, whose pretokens never hold white space behind other characters and
+This is for byte-level vocabularies of fewer than 65,536 ids, whose pretokens never hold white space behind other characters and
 whose tokens give back the bytes of a text.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wagerlens.llm.common import BYTE_CHARACTERS, WordPieces, ship_package, whole_text
+from wagerlens.llm.common import BYTE_CHARACTERS, PLAIN, WordPieces, ship_package, whole_text
 
 WINDOW = 32
 MEAN, LEAST, MOST = 512, 128, 4096
@@ -135,20 +137,15 @@ def encode_repeated(docs: DataFrame, vocabulary: str, bits: Broadcast) -> DataFr
             yield _batch(list(found.items()), ["chunk", "piece"], [pa.binary(), pa.binary()])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = WordPieces.of(vocabulary).encode
+        of = Joiner.of(vocabulary).ids
         for batch in _slices(batches):
-            ids = [_narrow(of(p.decode())) for p in batch.column("piece").to_pylist()]
+            ids = [of(p).tobytes() for p in batch.column("piece").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(ids, pa.binary())], ["chunk", "ids"])
 
     once = whole_text(docs).mapInArrow(texts, "chunk binary, piece binary").dropDuplicates(["chunk", "piece"])
     return once.mapInArrow(encode, "chunk binary, ids binary")
 
 
-def _narrow(ids: bytes) -> bytes:
-    """The vocabulary has fewer than 65,536 ids, so two bytes hold one."""
-    return np.frombuffer(ids, "<u4").astype("<u2").tobytes()
-
-
 def token_bytes(vocabulary: str) -> list[bytes]:
     """The bytes that each id stands for."""
     from tokenizers import Tokenizer
@@ -161,6 +158,20 @@ def token_bytes(vocabulary: str) -> list[bytes]:
     return out
 
 
+def _by_ranks(vocabulary: str, tokens: list[bytes]):
+    """The vocabulary as ranks, or None where its ids do not follow its merges."""
+    import public_tokenizers
+    import tiktoken
+
+    spec = json.loads(Path(vocabulary).read_text())
+    pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in spec["model"]["merges"]]
+    ids = spec["model"]["vocab"]
+    if any(ids.get(a + b) != 256 + rank for rank, (a, b) in enumerate(pairs)):
+        return None
+    ranks = {tokens[number]: number for number in range(256 + len(pairs))}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Decoder:
     """Bytes of ids; one of each kind and vocabulary per Python worker."""
 
@@ -181,15 +192,24 @@ class Decoder:
 
 
 class Joiner(Decoder):
-    """Puts the ids of a text's pieces together, as if the text had been encoded whole."""
+    """Encodes pieces of a text and puts their ids together, as if the text had been encoded whole.
+
+    Where the file numbers its tokens in the order of its merges, ranks say all that the merges say, and the
+    quick library for ranks gives the same ids; texts that may hold a special token, or characters whose class
+    depends on a library's Unicode tables, go to the tokenizers library itself.
+    """
 
     def __init__(self, vocabulary: str):
         super().__init__(vocabulary)
-        self._encode = WordPieces.of(vocabulary).encode
+        self._whole = WordPieces.of(vocabulary)
+        self._quick = _by_ranks(vocabulary, self.tokens)
         self._sizes = np.array([len(t) for t in self.tokens], np.int64)
 
     def ids(self, raw: bytes) -> np.ndarray:
-        return np.frombuffer(self._encode(raw.decode()), "<u4").astype("<u2")
+        text = raw.decode()
+        if self._quick is None or "<|" in text or not text.isascii() and max(text) >= PLAIN:
+            return np.frombuffer(self._whole.encode(text), "<u4").astype("<u2")
+        return np.array(self._quick.encode_ordinary(text), "<u2")
 
     def join(self, parts: list[tuple[bytes, np.ndarray]]) -> np.ndarray:
         """Ids of the concatenated texts, from each part's own text and ids.

@@ -79,7 +79,7 @@ _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-\u012f", "0-9²³¹¼½¾", "\\t-\\r \x85
 _TAILS = "'s|'t|'re|'ve|'m|'ll|'d"
 _WORD_END = re.compile(f"{_TAILS}|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 _BYTE_LEVEL = re.compile(f"{_TAILS}| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
-_PLAIN = "\u0130"
+PLAIN = "\u0130"
 """Texts with characters from here on are left to the tokenizer: case, composition and classes get involved."""
 
 
@@ -143,12 +143,12 @@ class WordPieces(dict):
         """The packed ids of a whole text."""
         if "<|" in text:
             return self._whole(text)
-        if text and not text.isascii() and max(text) >= _PLAIN:
+        if text and not text.isascii() and max(text) >= PLAIN:
             if not self._lower:
                 return self._whole(text)
             for space in "\n\t\r":
                 text = text.replace(space, " ")
-            return b"".join([self._whole(w) if max(w) >= _PLAIN else self.encode(w) for w in text.split(" ") if w])
+            return b"".join([self._whole(w) if max(w) >= PLAIN else self.encode(w) for w in text.split(" ") if w])
         if self._lower:
             text = text.lower()
         return b"".join(map(self.__getitem__, self._runs(text)))

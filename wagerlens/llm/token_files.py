@@ -28,6 +28,7 @@ from wagerlens.llm.common import WordPieces, new_path, partitions, whole_text
 
 BLOCK_BYTES = 1 << 20
 LEVEL = 3
+_SAMPLE = 1 << 14
 _DICTIONARY = "dict_hash string, width int, content binary"
 _FRAMES = "shard int, doc_id long, n_tokens long, frame binary"
 _BLOCKS = (
@@ -39,8 +40,9 @@ _BLOCKS = (
 def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int, width: int, sample: int = 2000, size: int = 65536) -> DataFrame:
     """The dictionary table, trained on the `sample` documents whose hashed ids are smallest.
 
-    A dictionary only changes how small the frames get, so a bounded sample serves any input. One task trains it.
-    With too little to train on it is empty, and frames stand alone.
+    A dictionary only changes how small the frames get, so a bounded sample serves any input. Of the chosen documents
+    all ids take part, in stretches of 16 KB. One task trains it, as large as the sample allows up to `size` bytes;
+    a sample without anything in common leaves it empty, and frames stand alone.
     """
     chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = whole_text(docs).join(F.broadcast(chosen), "doc_id", "left_semi")  # `sample` ids at most
@@ -48,17 +50,20 @@ def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int, width: int,
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = WordPieces.of(vocabulary).encode
         for batch in batches:
-            packed = [_narrow(encode(t.as_py()) + end_id.to_bytes(4, "little"), width)[:16384] for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], ["ids"])
+            packed = [_narrow(encode(t.as_py()) + end_id.to_bytes(4, "little"), width) for t in batch.column("text")]
+            parts = [ids[at : at + _SAMPLE] for ids in packed for at in range(0, len(ids), _SAMPLE)]
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], ["ids"])
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = sorted(i for batch in batches for i in batch.column(0).to_pylist())
-        content = b""
-        if sum(map(len, ids)) > 8 * size:
+        content, least = b"", min(size, 512)
+        for wanted in (size >> k for k in range(size.bit_length())):
+            if content or wanted < least:
+                break
             try:
-                content = zstandard.train_dictionary(size, ids).as_bytes()
+                content = zstandard.train_dictionary(wanted, ids).as_bytes()
             except zstandard.ZstdError:
-                pass  # nothing in common: frames without a dictionary
+                pass  # too little in common for one of this size
         yield pa.RecordBatch.from_arrays(
             [pa.array([hashlib.sha256(content).hexdigest()]), pa.array([width], pa.int32()), pa.array([content], pa.binary())],
             ["dict_hash", "width", "content"],
@@ -132,7 +137,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int, width
     ids = whole_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     (
         ids.mapInArrow(frames, _FRAMES)
-        .repartition(partitions(spark), "shard").sortWithinPartitions("shard", "doc_id", "frame")
+        .repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", "doc_id", "frame")
         .mapInArrow(blocks, _BLOCKS)
         .write.option("compression", "none").parquet(f"{path}/blocks")
     )

@@ -21,7 +21,7 @@ from wagerlens.params import DEFAULTS, Params
 from wagerlens.plans import bronze, gold, kpis, silver
 from wagerlens.schemas import CONTRACTS, COUNTRIES, DEVICES, RAW, RISK_TIERS, TRANSACTION_TYPES
 from wagerlens.session import configure
-from wagerlens.sinks import files, tables
+from wagerlens.sinks import facts, files, tables
 from wagerlens.sources.landing import land_all
 
 _HOUR = timedelta(hours=1)
@@ -32,6 +32,7 @@ FRESHNESS = {
     "transactions": (1 * _HOUR, 2 * _HOUR),
     "affiliate_cpa_ftd": (25 * _HOUR, 48 * _HOUR),
 }
+FACT_DAYS = {"fct_transactions": "txn_date", "fct_sessions": "session_date"}
 _KEYS = {"players": "player_id", "sessions": "session_id", "transactions": "transaction_id"}
 
 
@@ -49,8 +50,8 @@ class Run:
         return f"{self.out_dir}/{layer}/{table}"
 
     def table(self, layer: str, table: str) -> DataFrame:
-        if table in ("fct_transactions", "fct_sessions"):
-            return tables.read_fact(self.spark, self.path(layer, table), CONTRACTS[table])
+        if table in FACT_DAYS:
+            return facts.read_fact(self.spark, self.path(layer, table), FACT_DAYS[table], CONTRACTS[table])
         return tables.read_full(self.spark, self.path(layer, table))
 
     def save(self, layer: str, table: str, df: DataFrame) -> DataFrame:
@@ -184,25 +185,25 @@ def build_silver(run: Run, stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def load_transactions(run: Run, ledger: DataFrame, full_refresh: bool) -> None:
-    path = run.path("gold", "fct_transactions")
-    fact = q.enforce_contract(gold.fct_transactions(ledger), CONTRACTS["fct_transactions"])
-    if full_refresh or not files.exists(run.spark, path):
-        tables.write_fact(fact, path, "txn_date", "player_id", "transaction_id")
+    path, day, contract = run.path("gold", "fct_transactions"), FACT_DAYS["fct_transactions"], CONTRACTS["fct_transactions"]
+    fact = q.enforce_contract(gold.fct_transactions(ledger), contract)
+    if full_refresh or not facts.exists(run.spark, path):
+        facts.write_fact(fact, path, day, "player_id", "transaction_id")
         return
-    newest = tables.newest_day(run.table("gold", "fct_transactions"), "txn_date")
+    newest = facts.newest_day(run.spark, path, day, contract)
     batch = incremental_window(fact, newest, "txn_ts", "txn_ts", run.params.lookback_days)
-    tables.merge_into_path(batch, path, "transaction_id", "txn_date", "player_id", CONTRACTS["fct_transactions"])
+    facts.merge_into_path(batch, path, "transaction_id", day, "player_id", contract)
 
 
 def load_sessions(run: Run, stg_sessions: DataFrame, full_refresh: bool) -> None:
-    path = run.path("gold", "fct_sessions")
-    fact = q.enforce_contract(gold.fct_sessions(stg_sessions), CONTRACTS["fct_sessions"])
-    if full_refresh or not files.exists(run.spark, path):
-        tables.write_fact(fact, path, "session_date", "player_id", "session_id")
+    path, day, contract = run.path("gold", "fct_sessions"), FACT_DAYS["fct_sessions"], CONTRACTS["fct_sessions"]
+    fact = q.enforce_contract(gold.fct_sessions(stg_sessions), contract)
+    if full_refresh or not facts.exists(run.spark, path):
+        facts.write_fact(fact, path, day, "player_id", "session_id")
         return
-    loaded = run.table("gold", "fct_sessions")
-    batch = incremental_window(fact, loaded, "session_ts", "session_date", run.params.lookback_days)
-    tables.overwrite_days(batch, path, "session_date", "player_id", "session_id")
+    newest = facts.newest_day(run.spark, path, day, contract)
+    batch = incremental_window(fact, newest, "session_ts", day, run.params.lookback_days)
+    facts.overwrite_days(batch, path, day, "player_id", "session_id")
 
 
 def build_gold(run: Run, stg: dict[str, DataFrame], s: dict[str, DataFrame], full_refresh: bool) -> dict[str, DataFrame]:

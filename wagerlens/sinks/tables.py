@@ -1,13 +1,9 @@
-"""Table sinks on Parquet paths: full refresh, partitioned facts, merge, partition overwrite."""
+"""Full-refresh tables on Parquet paths: a snapshot at a time, the newest complete one is the table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from wagerlens.operators.incremental import union_evolve
-from wagerlens.operators.quality import unique
 from wagerlens.sinks import files
 
 _PREFIX = "snap-"
@@ -40,77 +36,15 @@ def write_full(df: DataFrame, path: str) -> None:
             files.remove_tree(spark, f"{path}/{name}")
 
 
-def read_full(spark: SparkSession, path: str) -> DataFrame:
-    complete = _complete(spark, path)
-    if not complete:
-        raise FileNotFoundError(f"no complete snapshot under {path}")
-    return spark.read.parquet(f"{path}/{complete[-1]}")
-
-
-def _laid_out(df: DataFrame, part: str, cluster: str, key: str) -> DataFrame:
-    """Rows ranged over (day, cluster, key): a day of any size spreads over tasks and files, each
-    holding a narrow range of the cluster column for row-group skipping."""
-    return df.repartitionByRange(part, cluster, key).sortWithinPartitions(part, cluster)
-
-
-def write_fact(df: DataFrame, path: str, part: str, cluster: str, key: str) -> None:
-    """Full load of a day-partitioned fact, clustered within the day."""
-    _laid_out(df, part, cluster, key).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy(part).parquet(path)
-
-
-def overwrite_days(df: DataFrame, path: str, part: str, cluster: str, key: str) -> None:
-    """Replace exactly the days present in ``df``; other days keep their files."""
-    _laid_out(df, part, cluster, key).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(part).parquet(path)
-
-
-def read_fact(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A partitioned fact; days written before a column was added have NULL there.
+def snapshot_numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete snapshots, oldest first; none where there is no table."""
+    return [int(n.removeprefix(_PREFIX)) for n in _complete(spark, path)]
 
-    With a known schema no file is opened to find out; without one, the schemas of all files
-    are merged, which is a job over every footer.
-    """
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    return spark.read.option("mergeSchema", "true").parquet(path)
-
-
-def newest_day(fact: DataFrame, part: str) -> DataFrame:
-    """The last partition only; its value comes from the partition names."""
-    return fact.where(F.col(part) == fact.agg(F.max(part)).scalar())
-
-
-class DuplicateKeyError(ValueError):
-    """A merge source holds a key twice."""
 
-
-def merge_into_path(
-    source: DataFrame, path: str, key: str, part: str, cluster: str, schema: T.StructType | None = None
-) -> None:
-    """Upsert into a day-partitioned fact: update matched keys, insert new ones, keep the rest.
-
-    Keys are matched over the whole target, reading only key and day; then only the days that
-    hold a matched or incoming row are rewritten. A row whose day changed leaves its old day, and
-    a day left empty is removed. Running it again gives the same table, also after a run that
-    stopped half-way. ``schema`` is the stored table's, where the caller knows it.
-    """
-    spark = source.sparkSession
-    if unique(source, [key]).limit(1).count():
-        raise DuplicateKeyError(f"merge source is not unique on {key}")
-    target = read_fact(spark, path, schema)
-    keys = source.select(key)
-    left_behind = target.select(key, part).join(keys, key, "left_semi").select(part).distinct()
-    # Calendar days: at most one row per day of history reaches the driver.
-    incoming = {r[0] for r in source.select(part).distinct().collect()}
-    touched = incoming | {r[0] for r in left_behind.collect()}
-    kept = target.where(F.col(part).isin(sorted(touched))).join(keys, key, "left_anti")
-    emptied = touched - incoming
-    if emptied:
-        still = kept.where(F.col(part).isin(sorted(emptied))).select(part).distinct().collect()
-        emptied -= {r[0] for r in still}
-    overwrite_days(union_evolve(kept, source), path, part, cluster, key)
-    for day in emptied:
-        files.remove_tree(spark, f"{path}/{part}={day.isoformat()}")
+def read_full(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
+    """The newest complete snapshot, or the one numbered `number`."""
+    complete = _complete(spark, path)
+    wanted = complete[-1] if complete and number is None else f"{_PREFIX}{number or 0:08d}"
+    if wanted not in complete:
+        raise FileNotFoundError(f"no complete snapshot {'' if number is None else number} under {path}")
+    return spark.read.parquet(f"{path}/{wanted}")

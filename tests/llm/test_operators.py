@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wagerlens.llm import exact_dedup as ed
 from wagerlens.llm import language_model as lm
-from wagerlens.llm import mixing, near_texts, order_minhash, packing, quality, simhash, token_files, toxicity, url_rules
+from wagerlens.llm import mixing, order_minhash, packing, quality, simhash, token_files, toxicity, url_rules
 from wagerlens.llm.common import WordPieces, connected_components, id_crc
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -202,7 +202,7 @@ def test_terms_by_chance_and_copies_do_not_tell(spark):
 
 
 def encoded(text, end):
-    return np.array([*WordPieces.of(VOCABULARY)._encode(text or "", add_special_tokens=False).ids, end], "<u4").tobytes()
+    return np.array([*WordPieces.of(VOCABULARY)._tokenizer.encode(text or "", add_special_tokens=False).ids, end], "<u4").tobytes()
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -395,47 +395,13 @@ def test_near_groups(docs, rows, empty):
     assert kept.columns == docs.columns
 
 
-def plain_similarity(a, b, width=5):
-    sets = []
-    for text in (a, b):
-        w = (text or "").encode().lower().split()
-        sets.append({tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))})
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
-
-
-def plain_components(texts):
-    ids = sorted(texts)
-    return roots_of(ids, [(a, b) for i, b in enumerate(ids) for a in ids[:i] if plain_similarity(texts[a], texts[b]) >= 0.8])
-
-
-@pytest.mark.parametrize("crowd", [3, 16])
-def test_near_copies(spark, docs, rows, empty, monkeypatch, crowd):
-    monkeypatch.setattr(near_texts, "CROWD", crowd)  # up to it pairs, above it leaders
-    rng = random.Random(8)
-    made = {}
-    for group in range(12):
-        base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([6, 30, 120, 400]))]
-        for _ in range(15):
-            near = base[:]
-            for _ in range(rng.randint(0, max(1, len(base) // 25))):
-                near[rng.randrange(len(near))] = f"x{rng.randrange(10**6)}"
-            made[len(made)] = " ".join(near)
-    got = near_texts.near_copies(spark.createDataFrame(list(made.items()), "doc_id long, text string")).collect()
-    assert {r.doc_id: r.component_id for r in got} == plain_components(made)
-    assert 12 < len({r.component_id for r in got}) < len(made)
-    plain = plain_components({i: t for i, t, *_ in rows if i is not None})
-    assert {r.doc_id: r.component_id for r in near_texts.near_copies(docs).collect()} == plain
-    assert near_texts.near_copies(empty).count() == 0
-    kept = simhash.keep_least(docs, near_texts.near_copies(docs))
-    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(set(plain.values()))
-    assert kept.columns == docs.columns and kept.where("doc_id is null").count() == 2
-
-
-def test_bands_of_a_long_set_do_not_depend_on_pieces(monkeypatch):
-    hashes = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 5000, np.uint64))
-    whole = near_texts.bands(hashes)
-    monkeypatch.setattr(near_texts, "_PIECE", 7)
-    assert (near_texts.bands(hashes) == whole).all()
+def test_rows_that_repeat_the_smallest_id_leave_one_row_whatever_the_order(spark):
+    rows = [(1, "a b c d", "x"), (1, "e f g h", "y"), (1, "a b c d", "x"), (2, "a b c d", "z"), (None, "a b c d", "n"), (None, None, "n")]
+    left = []
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id bigint, text string, __row string").repartition(3)
+        left.append(sorted((tuple(r) for r in simhash.drop_near(df).collect()), key=repr))
+    assert left[0] == left[1] and [r[0] for r in left[0]].count(1) == 1 and [r[0] for r in left[0]].count(None) == 2
 
 
 def test_components_of_a_long_chain(spark):
@@ -527,6 +493,7 @@ def test_mixing_takes_rows_at_their_rates(docs, labels, rows, empty):
     assert {r.doc_id: r.n_tokens for r in rated if r.doc_id == 2} == {2: len(rows[2][1].split())}
     taken = mixing.mixed(docs, labels, weights)
     assert taken.columns == docs.columns and taken.count() == sum(r.copies for r in rated)
+    assert taken.where(" or ".join(f"`{c}` <> 'clash'" for c in CLASHES)).count() == 0  # no column of ours got in
     assert mixing.mixing_rates(empty, labels, weights).count() == 0
     assert mixing.mixed(empty, labels, weights).count() == 0
 

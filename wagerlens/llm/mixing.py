@@ -208,8 +208,11 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float],
 
 
 def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float], **settings) -> DataFrame:
-    """`docs` with every row as often as the mixture takes it; nothing is shuffled."""
+    """`docs` with every row as often as the mixture takes it; nothing is shuffled. Columns may have any names."""
     mixture, _ = fit_mixture(docs, labels, weights, **settings)
-    rated = docs.withColumn("__rate", mixture.rate_of_text(F.coalesce(F.col("text"), F.lit(""))))
-    taken = rated.withColumn("__times", copies(F.col("doc_id"), F.col("__rate"))).where("__times > 0")
-    return taken.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select(docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    text, doc_id = F.coalesce(F.col("row.text"), F.lit("")), F.col("row.doc_id")
+    rated = docs.select(row.alias("row")).withColumn("rate", mixture.rate_of_text(text))
+    taken = rated.withColumn("times", copies(doc_id, F.col("rate"))).where("times > 0")
+    out = taken.withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+    return out.select([F.col(f"row.`{c}`").alias(c) for c in docs.columns])

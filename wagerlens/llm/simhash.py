@@ -136,12 +136,15 @@ def near_groups(docs: DataFrame, width: int = 3, max_distance: int = 2) -> DataF
 def drop_near(docs: DataFrame, width: int = 3, max_distance: int = 2) -> DataFrame:
     """The rows of `docs` that stand for their group: one for each component, the one with its smallest doc_id.
 
-    Rows without an id stay. Rows that repeat the smallest id count as one document, of which one row stays.
+    Rows without an id stay. Rows that repeat the smallest id count as one document, of which the row with the
+    smallest hash of all columns stays. Columns may have any names.
     """
     return keep_least(docs, near_groups(docs, width, max_distance))
 
 
 def keep_least(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """One row of `docs` for each component of `groups` (doc_id, component_id), and all rows without an id."""
-    named = keep_rows(docs.where("doc_id is not null"), groups.where("doc_id = component_id")).dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    named = keep_rows(docs.where("doc_id is not null"), groups.where("doc_id = component_id"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one = named.groupBy("doc_id").agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("__row"))
+    return one.select([F.col(f"__row.`{c}`").alias(c) for c in docs.columns]).unionByName(docs.where("doc_id is null"))

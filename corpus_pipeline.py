@@ -1,4 +1,9 @@
-"""From raw documents to packed training sequences: five stages, each written out before the next reads it."""
+"""From raw documents to packed training sequences: five stages, each written out before the next reads it.
+
+A null text counts as empty in every stage and stays null in the rows that are kept; an empty table passes through
+empty. Repeated rows are one document to the stages that drop copies, and as many as there are to the others. Columns
+beyond those of `documents` are kept as they are, whatever their names, up to the last stage.
+"""
 
 from __future__ import annotations
 
@@ -8,11 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from wagerlens.llm.common import materialize
 from wagerlens.llm.exact_dedup import drop_exact
 from wagerlens.llm.mixing import mixed
-from wagerlens.llm.near_texts import near_copies
 from wagerlens.llm.packing import pack
 from wagerlens.llm.quality import keep_good
 from wagerlens.llm.queries import ACCEPTED, VOCABULARY
-from wagerlens.llm.simhash import keep_least
+from wagerlens.llm.simhash import drop_near
 
 # Clean documents are to stay whole, so they anchor the budget and no document is taken twice.
 MIXTURE = {"clean": 0.95, "toxic": 0.03, "poor": 0.02}
@@ -33,8 +37,8 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies (five words, similarity 0.8): the one with the smallest id."""
-    return keep_least(docs, near_copies(docs))
+    """One document of every group of near copies (three words, 2 bits of the fingerprint): the one with the smallest id."""
+    return drop_near(docs, width=3, max_distance=2)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from wagerlens.schemas import RAW, _text
 from wagerlens.sinks.tables import read_full
 from wagerlens.sources import audit
-from wagerlens.sources.landing import land_all, land_full, to_ndjson, with_audit
+from wagerlens.sources.landing import Landed, land_all, land_full, to_ndjson, with_audit
 from wagerlens.sources.readers import CORRUPT, read_csv_strings, read_json_array
 
 LOADED = datetime(2024, 2, 1, 6)
@@ -86,7 +86,7 @@ def test_land_all_convert_only(spark, tmp_path):
     for name in ("transactions", "affiliate_cpa_ftd"):
         _write(src / f"{name}.csv", ",".join(RAW[name].names) + "\n" + ",".join("1" for _ in RAW[name].names) + "\n")
     counts = land_all(spark, str(src), str(tmp_path / "out"), LOADED, convert_only=True)
-    assert counts == {"players": 1, "sessions": 1, "transactions": 1, "affiliate_cpa_ftd": 1}
+    assert counts == {name: Landed(1, 1, 0, 0) for name in RAW}
     assert not (tmp_path / "out" / "raw").exists()
     assert len(_lines(tmp_path / "out" / "ndjson" / "sessions")) == 1
 

@@ -131,6 +131,27 @@ def volume_anomaly(df: DataFrame, ts_col: str, train: int = 14, z: float = 3.0)
     return scored.where((F.col("history") >= train) & (F.abs("z_score") > z)).drop("history")
 
 
+def delivery_anomaly(history: DataFrame, train: int = 14, z: float = 3.0, least: int = 3, floor: float = 0.05) -> DataFrame:
+    """Runs whose row count of a source lies more than ``z`` spreads from the mean of its ``train`` runs before.
+
+    ``history`` has run_id, run_at, source, n_rows: one row per source and run. The spread is the deviation of those
+    runs, and at least ``floor`` of their mean, so a source that always delivers alike has a verdict too. The first
+    ``least`` runs of a source have none. Only runs meet in a window, never rows of a source.
+    """
+    before = Window.partitionBy("source").orderBy("run_at", "run_id").rowsBetween(-train, -1)
+    scored = history.select(
+        "run_id", "run_at", "source", "n_rows",
+        F.count("*").over(before).alias("history"),
+        F.avg("n_rows").over(before).alias("mean_rows"),
+        F.coalesce(F.stddev_samp("n_rows").over(before), F.lit(0.0)).alias("sd_rows"),
+    )
+    spread = F.greatest(F.col("sd_rows"), F.lit(floor) * F.col("mean_rows"))
+    apart = F.col("n_rows") - F.col("mean_rows")
+    # a source that was always empty has no spread: any row is news
+    fires = F.when(spread == 0, apart != 0).otherwise(F.abs(apart) > F.lit(z) * spread)
+    return scored.where((F.col("history") >= least) & fires).withColumn("z_score", F.try_divide(apart, spread)).drop("history")
+
+
 @dataclass(frozen=True)
 class Check:
     """A check that has to build its own frame of failing rows, such as a key or a reference."""

@@ -7,7 +7,7 @@ lost executor or a failed run restarts from files rather than from a long lineag
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 
 from wagerlens.operators import assertions as rules
 from wagerlens.operators import quality as q
+from wagerlens.functions.scalars import safe_timestamp
 from wagerlens.operators.incremental import incremental_window
 from wagerlens.params import DEFAULTS, Params
 from wagerlens.plans import bronze, gold, kpis, silver
 from wagerlens.schemas import CONTRACTS, COUNTRIES, DEVICES, RAW, RISK_TIERS, TRANSACTION_TYPES
 from wagerlens.session import configure
-from wagerlens.sinks import facts, files, tables
-from wagerlens.sources.landing import land_all
+from wagerlens.sinks import facts, tables
+from wagerlens.sources import landing, registry
+from wagerlens.sources.quarantine import source_schema
 
 _HOUR = timedelta(hours=1)
 # Age limits (warn, error) of the sources.
@@ -32,6 +34,7 @@ FRESHNESS = {
     "transactions": (1 * _HOUR, 2 * _HOUR),
     "affiliate_cpa_ftd": (25 * _HOUR, 48 * _HOUR),
 }
+EVENT_LAG = (25 * _HOUR, 48 * _HOUR)
 FACT_DAYS = {"fct_transactions": "txn_date", "fct_sessions": "session_date"}
 _KEYS = {"players": "player_id", "sessions": "session_id", "transactions": "transaction_id"}
 
@@ -50,6 +53,8 @@ class Run:
         return f"{self.out_dir}/{layer}/{table}"
 
     def table(self, layer: str, table: str) -> DataFrame:
+        if layer == "raw":
+            return landing.accepted(self.spark, self.path(layer, table))
         if table in FACT_DAYS:
             return facts.read_fact(self.spark, self.path(layer, table), FACT_DAYS[table], CONTRACTS[table])
         return tables.read_full(self.spark, self.path(layer, table))
@@ -91,32 +96,39 @@ def _refers(name: str, child: DataFrame, fk: str, parent: DataFrame, pk: str) ->
     return q.Check(name, "error", q.relationships(child, fk, parent, pk))
 
 
-def check_raw(run: Run) -> None:
-    """Freshness (recorded as one result per source), keys and schema drift of the landed tables."""
+def _statuses(found: DataFrame, what: str, worst: str) -> DataFrame:
+    """Freshness as check results; a status above `worst` counts as `worst`."""
+    level = F.when(F.col("status") == "error", worst).otherwise(F.col("status"))
+    return found.select(
+        F.concat(F.lit("raw."), "source", F.lit(f" {what}")).alias("check_name"), F.lit(worst).alias("severity"),
+        (level != "pass").cast("bigint").alias("failures"), level.alias("status"),
+    )
+
+
+def check_raw(run: Run, landed: dict[str, landing.Landed]) -> None:
+    """What arrived, against what should have: delivery times, volumes against earlier runs, fields against the registry, keys.
+
+    Freshness is that of the delivered files, whenever they were loaded; how old the newest event is only warns.
+    Rejected rows and fields that nobody knows warn or fail, and are kept (`landing.rejected`, `landing.widened`).
+    """
     raw = {name: run.table("raw", name) for name in RAW}
-    fresh = q.freshness({n: (raw[n], "_ingested_at", *FRESHNESS[n]) for n in raw}, run.as_of)
-    level = F.col("status")
-    run.report(
-        fresh.select(
-            F.concat(F.lit("raw."), "source", F.lit(" fresh")).alias("check_name"),
-            F.lit("error").alias("severity"),
-            (level != "pass").cast("bigint").alias("failures"),
-            level.alias("status"),
-        )
+    delivered = q.freshness({n: (raw[n], "_delivered_at", *FRESHNESS[n]) for n in raw}, run.as_of)
+    events = q.freshness(
+        {n: (raw[n].select(safe_timestamp(F.col("timestamp")).alias("ts")), "ts", *EVENT_LAG) for n in ("sessions", "transactions")}, run.as_of
     )
     checks: list[AnyCheck] = [c for name, key in _KEYS.items() for c in _keyed(f"raw.{name}", raw[name], key)]
     checks += _filled("raw.affiliate_cpa_ftd", raw["affiliate_cpa_ftd"], "affiliate_id")
-    for name, df in raw.items():
-        baseline = run.path("schema_baseline", name)
-        now = q.schema_frame(run.spark, df)
-        if files.exists(run.spark, baseline):
-            drift = q.schema_changes(now, tables.read_full(run.spark, baseline))
-            checks.append(q.Check(f"raw.{name} schema unchanged", "error", drift))
-        else:
-            tables.write_full(now, baseline)
-    for name in ("sessions", "transactions"):
-        checks.append(q.Check(f"raw.{name} volume", "warn", q.volume_anomaly(raw[name], "_ingested_at")))
-    run.check(checks)
+    history = run.path("history", "volumes")
+    registry.record_volumes(run.spark, history, run.run_id, run.as_of, landed)
+    strange = q.delivery_anomaly(registry.volumes(run.spark, history)).where(F.col("run_id") == run.run_id)
+    for name in raw:
+        checks.append(q.Check(f"raw.{name} volume", "warn", strange.where(F.col("source") == name)))
+        checks.append(q.Check(f"raw.{name} rejected rows", "warn", landing.rejected(run.spark, run.path("raw", name))))
+        seen = source_schema(landing.whole(run.spark, run.path("raw", name)))
+        changes = registry.register(run.spark, run.path("history", "schemas"), name, seen, RAW[name], run.run_id, run.as_of)
+        checks.append(q.Check(f"raw.{name} schema unchanged", "error", changes))
+    results = [_statuses(delivered, "fresh", "error"), _statuses(events, "newest event", "warn"), q.run_suite(checks)]
+    run.report(results[0].unionByName(results[1]).unionByName(results[2]))
 
 
 def build_bronze(run: Run) -> dict[str, DataFrame]:
@@ -279,7 +291,7 @@ def build_kpis(run: Run, g: dict[str, DataFrame]) -> None:
 
 def run_pipeline(
     spark: SparkSession, src_dir: str, out_dir: str, as_of: datetime, params: Params = DEFAULTS,
-    full_refresh: bool = False,
+    full_refresh: bool = False, sources: Sequence[landing.Source] = landing.SOURCES,
 ) -> Run:
     """One complete run. Every attempt has a run id of its own, so one that failed may be repeated. A failed error-level check raises and leaves later layers as they were.
 
@@ -287,8 +299,7 @@ def run_pipeline(
     later than that stays out, while balances after it include it, until ``full_refresh=True``.
     """
     run = Run(configure(spark), out_dir, params, as_of, f"{as_of:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}")
-    land_all(spark, src_dir, out_dir, as_of)
-    check_raw(run)
+    check_raw(run, landing.land_all(spark, src_dir, out_dir, as_of, sources=sources))
     stg = build_bronze(run)
     s = build_silver(run, stg)
     g = build_gold(run, stg, s, full_refresh)

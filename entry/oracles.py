@@ -98,24 +98,34 @@ rounds AS (
   SELECT player_id, count(*) FILTER (transaction_type = 'deposit' AND amount % 10 = 0) AS n_round
   FROM transactions GROUP BY player_id),
 countries AS (SELECT player_id, count(DISTINCT country) AS n_countries FROM affiliate GROUP BY player_id),
-flags AS (
-  SELECT p.player_id,
-         p.player_id IN (SELECT player_id FROM ghosts) AS s_ghost_ftd,
-         coalesce(f.total_deposits > 0 AND f.bet_ratio < 0.2 AND f.total_withdrawals > 0, false) AS s_aml_low_play,
-         coalesce(a.distinct_ips > 48, false) AS s_ip_velocity,
-         coalesce(o.transaction_type <> 'deposit', false) AS s_ledger_anomaly,
-         coalesce(f.net_deposit, 0) < 0 AS s_net_negative,
-         coalesce(r.n_round, 0) >= 3 AS s_structuring,
-         coalesce(c.n_countries, 0) > 1 AS s_geo_conflict,
-         coalesce(a.distinct_devices, 0) >= 3 AS s_device_takeover,
-         p.player_id IN (SELECT player_id FROM burst) AS s_reg_velocity,
-         coalesce(a.active_span_days, 0) > 28 AS s_dormant,
-         coalesce(f.total_withdrawals, 0) AS value_at_risk
-  FROM players p LEFT JOIN financials f USING (player_id) LEFT JOIN activity a USING (player_id)
-  LEFT JOIN opening o USING (player_id) LEFT JOIN rounds r USING (player_id) LEFT JOIN countries c USING (player_id)),
+hit_ghost AS (SELECT DISTINCT player_id FROM ghosts),
+hit_low_play AS (SELECT player_id FROM financials WHERE total_withdrawals > 0 AND total_deposits > 0 AND bet_ratio < 0.2),
+hit_ips AS (SELECT player_id FROM sessions GROUP BY player_id HAVING count(DISTINCT ip) > 48),
+hit_opening AS (SELECT player_id FROM opening WHERE transaction_type <> 'deposit'),
+hit_negative AS (SELECT player_id FROM financials WHERE total_withdrawals > total_deposits),
+hit_rounds AS (SELECT player_id FROM rounds WHERE n_round >= 3),
+hit_countries AS (SELECT player_id FROM countries WHERE n_countries > 1),
+hit_devices AS (SELECT player_id FROM sessions GROUP BY player_id HAVING count(DISTINCT device) >= 3),
+hit_span AS (SELECT player_id FROM activity WHERE active_span_days > 28),
+hits AS (
+  SELECT player_id, 'ghost' AS rule FROM hit_ghost UNION ALL SELECT player_id, 'low_play' FROM hit_low_play
+  UNION ALL SELECT player_id, 'ips' FROM hit_ips UNION ALL SELECT player_id, 'opening' FROM hit_opening
+  UNION ALL SELECT player_id, 'negative' FROM hit_negative UNION ALL SELECT player_id, 'rounds' FROM hit_rounds
+  UNION ALL SELECT player_id, 'countries' FROM hit_countries UNION ALL SELECT player_id, 'devices' FROM hit_devices
+  UNION ALL SELECT player_id, 'span' FROM hit_span UNION ALL SELECT player_id, 'burst' FROM burst),
+met AS (SELECT player_id, list(DISTINCT rule) AS rules FROM hits GROUP BY player_id),
+ruled AS (SELECT players.player_id, coalesce(met.rules, []) AS rules FROM players LEFT JOIN met USING (player_id)),
+withdrawn AS (
+  SELECT player_id, sum(amount) AS value FROM transactions WHERE transaction_type = 'withdraw' GROUP BY player_id),
 scored AS (
-  SELECT *, CAST(s_ghost_ftd AS BIGINT) + CAST(s_aml_low_play AS BIGINT) + CAST(s_ip_velocity AS BIGINT)
-            + CAST(s_ledger_anomaly AS BIGINT) + CAST(s_net_negative AS BIGINT) AS risk_score FROM flags),
+  SELECT ruled.player_id, coalesce(withdrawn.value, 0) AS value_at_risk,
+         list_contains(rules, 'countries') AS s_geo_conflict, list_contains(rules, 'devices') AS s_device_takeover,
+         list_contains(rules, 'rounds') AS s_structuring, list_contains(rules, 'span') AS s_dormant,
+         list_contains(rules, 'burst') AS s_reg_velocity, list_contains(rules, 'ghost') AS s_ghost_ftd,
+         list_contains(rules, 'ips') AS s_ip_velocity, list_contains(rules, 'low_play') AS s_aml_low_play,
+         list_contains(rules, 'negative') AS s_net_negative, list_contains(rules, 'opening') AS s_ledger_anomaly,
+         CAST(len(list_filter(rules, lambda r: r IN ('ghost', 'low_play', 'ips', 'opening', 'negative'))) AS BIGINT) AS risk_score
+  FROM ruled LEFT JOIN withdrawn USING (player_id)),
 fraud AS (
   SELECT * REPLACE (round(CAST(value_at_risk AS DOUBLE), 6) AS value_at_risk),
          CASE WHEN risk_score >= 4 THEN 'Critical' WHEN risk_score = 3 THEN 'High' WHEN risk_score = 2 THEN 'Medium'
@@ -257,7 +267,7 @@ _DISCOVERY = _union([
 _FEATURES = _union([
     _finding(1, "net-negative players (withdrew > deposited)",
              "(SELECT count(*) FROM financials WHERE total_withdrawals > total_deposits)", "'the house paid out more than it took'"),
-    _finding(2, "AML low-play: bet_ratio < 0.2 AND withdrew", "(SELECT count(*) FROM flags WHERE s_aml_low_play)",
+    _finding(2, "AML low-play: bet_ratio < 0.2 AND withdrew", "(SELECT count(*) FROM scored WHERE s_aml_low_play)",
              "'deposit, barely bet, cash out'"),
     _finding(3, "deposited but never placed a bet", "(SELECT count(*) FROM financials WHERE total_deposits > 0 AND n_bets = 0)",
              "'money in, no play'"),
@@ -293,7 +303,7 @@ _DASHBOARD = _union([
         ("Financial Signals: total deposits (R$)", "(SELECT sum(total_deposits) FROM financials)"),
         ("Financial Signals: total withdrawals (R$)", "(SELECT sum(total_withdrawals) FROM financials)"),
         ("Financial Signals: house net deposit (R$)", "(SELECT sum(net_deposit) FROM financials)"),
-        ("Financial Signals: low-play + withdrew players", "(SELECT count(*) FROM flags WHERE s_aml_low_play)"),
+        ("Financial Signals: low-play + withdrew players", "(SELECT count(*) FROM scored WHERE s_aml_low_play)"),
     ], start=1)
 ])
 
@@ -367,7 +377,7 @@ FROM affiliate LEFT JOIN (SELECT affiliate_id, country AS primary_country FROM (
     "affiliate_performance": f"SELECT affiliate_id, qualified_ftds, {_money('cpa_owed', 'real_revenue', 'roi')}, ghost_ftds FROM performance",
     "fraud_signals": "SELECT * FROM fraud",
     "sig_ghost_ftd": """SELECT DISTINCT player_id, player_id IN (SELECT player_id FROM ghosts) AS s_ghost_ftd FROM affiliate""",
-    "sig_aml_low_play": "SELECT player_id, s_aml_low_play FROM flags JOIN financials USING (player_id)",
+    "sig_aml_low_play": "SELECT player_id, s_aml_low_play FROM scored JOIN financials USING (player_id)",
     "sig_ip_velocity": "SELECT player_id, distinct_ips > 48 AS s_ip_velocity FROM activity",
     "sig_ledger_anomaly": "SELECT player_id, transaction_type <> 'deposit' AS s_ledger_anomaly FROM opening",
     "sig_net_negative": "SELECT player_id, net_deposit < 0 AS s_net_negative FROM financials",
@@ -515,7 +525,7 @@ count(DISTINCT player_id) AS n_keys FROM {name}""" for name, ts in [("transactio
 FROM fraud JOIN dim_player USING (player_id)""",
     "kpi_by_signal": _union([
         f"""SELECT '{name}' AS signal, count(*) FILTER ({name}) AS players_flagged, CAST({i} AS BIGINT) AS position, '{group}' AS signal_group
-FROM flags""" for i, (name, group) in enumerate(_SIGNALS, start=1)]),
+FROM scored""" for i, (name, group) in enumerate(_SIGNALS, start=1)]),
     "kpi_var_by_country": f"""SELECT acquisition_country, {_r("sum(value_at_risk)", "value_at_risk")}
 FROM fraud JOIN dim_player USING (player_id) GROUP BY 1""",
     "kpi_acquisition": f"""SELECT registered_players, depositors, {_r("depositors / registered_players", "ftd_rate")},
@@ -523,11 +533,14 @@ FROM fraud JOIN dim_player USING (player_id) GROUP BY 1""",
 FROM (SELECT (SELECT count(*) FROM dim_player) AS registered_players, (SELECT count(first_deposit_ts) FROM dim_player) AS depositors,
 (SELECT count(*) FROM dim_player WHERE is_one_and_done) AS one_and_done, (SELECT sum(total_bets) FROM financials) AS turnover,
 (SELECT count(*) FROM financials) AS active_players, (SELECT sum(real_revenue) FROM performance) AS revenue)""",
-    "kpi_retention": f"""SELECT strftime(c.m, '%Y-%m') AS year_month, count(*) AS active_players,
-(SELECT count(*) FROM {_ACTIVE_MONTHS} b WHERE b.m = c.m - INTERVAL 1 MONTH) AS previous_active,
-count(p.player_id) AS retained_players,
-{_r(f"count(p.player_id) / nullif((SELECT count(*) FROM {_ACTIVE_MONTHS} b WHERE b.m = c.m - INTERVAL 1 MONTH), 0)", "retention_rate")}
-FROM {_ACTIVE_MONTHS} c LEFT JOIN {_ACTIVE_MONTHS} p ON c.player_id = p.player_id AND p.m = c.m - INTERVAL 1 MONTH GROUP BY c.m""",
+    "kpi_retention": f"""SELECT strftime(axis.m, '%Y-%m') AS year_month, coalesce(now.n, 0) AS active_players,
+       coalesce(past.n, 0) AS previous_active, coalesce(stayed.n, 0) AS retained_players,
+       {_r("coalesce(stayed.n, 0) / nullif(coalesce(past.n, 0), 0)", "retention_rate")}
+FROM (SELECT CAST(unnest(generate_series(min(m), max(m), INTERVAL 1 MONTH)) AS DATE) AS m FROM {_ACTIVE_MONTHS}) axis
+LEFT JOIN (SELECT CAST(m AS DATE) AS m, count(*) AS n FROM {_ACTIVE_MONTHS} GROUP BY m) now ON now.m = axis.m
+LEFT JOIN (SELECT CAST(m AS DATE) AS m, count(*) AS n FROM {_ACTIVE_MONTHS} GROUP BY m) past ON past.m = axis.m - INTERVAL 1 MONTH
+LEFT JOIN (SELECT CAST(c.m AS DATE) AS m, count(*) AS n FROM {_ACTIVE_MONTHS} c
+           JOIN {_ACTIVE_MONTHS} p ON c.player_id = p.player_id AND p.m = c.m - INTERVAL 1 MONTH GROUP BY c.m) stayed ON stayed.m = axis.m""",
     "kpi_acquisition_by_country": f"""SELECT acquisition_country, count(*) AS registered_players, count(first_deposit_ts) AS depositors,
 {_r("count(first_deposit_ts) / count(*)", "ftd_rate")},
 {_r("CAST(sum(CASE WHEN acquisition_affiliate_id IS NOT NULL THEN net_deposit END) AS DOUBLE) / nullif(count(net_deposit), 0)", "arpu")}

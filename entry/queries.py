@@ -52,10 +52,10 @@ class Frames:
     def conformed(self): return silver.players_conformed(self.players)
 
     @cached_property
-    def first_deposit(self): return silver.first_deposit(self.tx)
+    def first_deposit(self): return silver.first_deposit(self.wallet)
 
     @cached_property
-    def qualified(self): return silver.qualified_ftd(self.first_deposit, self.tx, P.qualified_baseline)
+    def qualified(self): return silver.qualified_ftd(self.wallet)
 
     @cached_property
     def wallet(self): return silver.wallet_profile(self.tx, P)
@@ -64,7 +64,7 @@ class Frames:
     def attribution(self): return silver.affiliate_attribution(self.wallet, self.aff)
 
     @cached_property
-    def financials(self): return silver.player_financials(self.tx)
+    def financials(self): return silver.player_financials(self.wallet)
 
     @cached_property
     def activity(self): return silver.player_activity(self.sessions)
@@ -76,7 +76,7 @@ class Frames:
     def dim_date(self): return gold.dim_date(self.tx, self.sessions)
 
     @cached_property
-    def dim_player(self): return gold.dim_player_from_wallet(self.conformed, self.wallet, self.aff)
+    def dim_player(self): return gold.dim_player(self.conformed, self.wallet, silver.winning_claims(self.aff))
 
     @cached_property
     def movements(self):
@@ -91,10 +91,10 @@ class Frames:
 
     @cached_property
     def fraud(self):
-        return gold.fraud_signals_from_bronze(self.players, self.tx, self.sessions, self.aff, P)
+        return gold.fct_fraud_signals(self.players, silver.player_wallet(self.tx, P), self.activity, self.aff, P)
 
     @cached_property
-    def performance(self): return gold.affiliate_performance_from_wallet(self.aff, self.wallet)
+    def performance(self): return gold.agg_affiliate_performance(self.aff, self.wallet)
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -230,7 +230,7 @@ OPERATORS: dict[str, Callable[[Frames], DataFrame]] = {
     "silver_feature_scan": lambda f: reports.silver_feature_scan(f.tx, f.sessions, P),
     "ledger_reconciliation": lambda f: reports.ledger_reconciliation(f.tx, P),
     "fraud_signal_scan": lambda f: reports.fraud_signal_scan(f.fraud, P),
-    "dashboard_metrics": lambda f: reports.dashboard_metrics_from_bronze(f.tx, f.aff, P),
+    "dashboard_metrics": lambda f: reports.dashboard_metrics(f.wallet, silver.winning_claims(f.aff), P),
     # Data quality, generic (Q1-Q12)
     "dq_unique": lambda f: q.unique(f.aff, ["affiliate_id", "player_id"]),
     "dq_not_null": lambda f: q.not_null(bronze.stg_transactions(f.raw.raw_transactions()), "amount"),

@@ -11,8 +11,8 @@ from wagerlens.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    # Thousands of tiny plans: the light compiler warms up faster than it loses.
-    session = local_session("8", 2, "wagerlens-tests", java_options="-XX:TieredStopAtLevel=1")
+    # Thousands of tiny plans: the light compiler warms up faster than it loses; their code needs room.
+    session = local_session("8", 2, "wagerlens-tests", java_options="-XX:TieredStopAtLevel=1 -XX:ReservedCodeCacheSize=512m")
     yield session
     session.stop()
 

@@ -16,18 +16,14 @@ AFF = "player_id string, affiliate_id string, country string, ftd bigint, cpa_va
 TEN = datetime(2024, 1, 1, 10)
 
 
-@pytest.mark.parametrize("build", ["separate", "wallet"])
-def test_qualified_ftd_respects_the_baseline(frame, build):
+def test_qualified_ftd_respects_the_baseline(frame):
     tx = frame(
         TX,
         ("d1", "pA", "2024-01-01 10:00:00", "deposit", 100), ("b1", "pA", "2024-01-01 11:00:00", "bet", 60),
         ("d2", "pB", "2024-01-01 10:00:00", "deposit", 100), ("b2", "pB", "2024-01-01 11:00:00", "bet", 10),
         ("b3", "pC", "2024-01-01 11:00:00", "bet", 500),
     )
-    if build == "separate":
-        got = silver.qualified_ftd(silver.first_deposit(tx), tx)
-    else:
-        got = silver.wallet_profile(tx).where("n_deposits > 0")
+    got = silver.qualified_ftd(silver.wallet_profile(tx))
     assert rows(got, "player_id", "first_deposit_ts", "total_bets", "is_qualified") == [
         ("pA", TEN, 60, True), ("pB", TEN, 10, False)
     ]
@@ -68,7 +64,7 @@ def test_financials(frame):
         ("t1", "p1", "2024-01-01 10:00:00", "deposit", 100), ("t2", "p1", "2024-01-01 11:00:00", "withdraw", 30),
         ("t3", "p1", "2024-01-01 12:00:00", "bet", 40), ("t4", "p2", "2024-01-01 12:00:00", "bet", 40),
     )
-    assert rows(silver.player_financials(tx), *silver.FINANCIALS) == [
+    assert rows(silver.player_financials(silver.wallet_profile(tx)), *silver.FINANCIALS) == [
         ("p1", 100, 30, 40, 70, 0.4, 1, 1, 1), ("p2", 0, 0, 40, 0, None, 0, 0, 1)
     ]
 
@@ -96,32 +92,21 @@ def test_activity_counts_whole_days(frame):
 
 def test_fraud_signals(frame):
     flag = "player_id string, is_qualified boolean"
-    financials = frame(
-        "player_id string, total_deposits decimal(18,2), total_withdrawals decimal(18,2), "
-        "total_bets decimal(18,2), net_deposit decimal(18,2)",
-        ("p_clean", 100, 20, 60, 80), ("p_bad", 50, 100, 20, -50),
+    wallet = frame(
+        "player_id string, total_deposits decimal(18,2), total_withdrawals decimal(18,2), total_bets decimal(18,2), "
+        "net_deposit decimal(18,2), is_qualified boolean, n_round bigint, first_type string",
+        ("p_clean", 100, 20, 60, 80, True, 0, "deposit"), ("p_bad", 50, 100, 20, -50, False, 0, "deposit"),
     )
     activity = frame(
         "player_id string, distinct_ips bigint, distinct_devices bigint, active_span_days bigint",
         ("p_clean", 2, 1, 5), ("p_bad", 3, 1, 5),
     )
-    ledger = frame(
-        TX, ("c1", "p_clean", "2024-01-01 10:00:00", "deposit", None), ("b1", "p_bad", "2024-01-01 10:00:00", "deposit", None)
-    )
-    got = gold.fct_fraud_signals(
-        conformed=frame("player_id string", ("p_clean",), ("p_bad",)),
-        qualified=frame(flag, ("p_clean", True), ("p_bad", False)),
-        financials=financials, activity=activity, ledger=ledger,
-        stg_aff=frame(AFF, ("p_bad", "a1", "BR", 1, None)),
-        stg_tx=frame(TX, ("x", "p_bad", None, "deposit", 50)),
-        stg_players=frame(
-            "player_id string, created_at date", ("p_clean", "2024-01-01"), ("p_bad", "2024-01-02"),
-            *[(f"f{i}", "2024-01-03") for i in range(1, 6)],
-        ),
-    )
+    players = frame("player_id string, created_at date", ("p_clean", "2024-01-01"), ("p_bad", "2024-01-02"),
+                    *[(f"f{i}", "2024-01-03") for i in range(1, 6)])
+    got = gold.fct_fraud_signals(players, wallet, activity, frame(AFF, ("p_bad", "a1", "BR", 1, None)))
     enforce_contract(got, CONTRACTS["fct_fraud_signals"])
     by_player = {r.player_id: r.asDict() for r in got.collect()}
-    assert set(by_player) == {"p_clean", "p_bad"}
+    assert set(by_player) == {"p_clean", "p_bad", *(f"f{i}" for i in range(1, 6))}
     clean, bad = by_player["p_clean"], by_player["p_bad"]
     assert not any(clean[s] for s in CORE_SIGNALS + SECONDARY_SIGNALS)
     assert (clean["value_at_risk"], clean["risk_score"], clean["risk_tier"]) == (20, 0, "No alert")
@@ -131,10 +116,8 @@ def test_fraud_signals(frame):
 
 def test_affiliate_performance(frame):
     got = gold.agg_affiliate_performance(
-        frame("player_id string, affiliate_id string, cpa_value decimal(18,2)", ("p1", "a1", 50)),
-        frame("player_id string, net_deposit decimal(18,2)", ("p1", 200)),
-        frame("player_id string, is_qualified boolean", ("p1", True), ("p2", False)),
-        frame(AFF, ("p1", "a1", "BR", 1, None), ("p2", "a1", "BR", 1, None), ("p2", "a2", "BR", 1, None)),
+        frame(AFF, ("p1", "a1", "BR", 1, 50), ("p1", "a3", "BR", 1, 40), ("p2", "a1", "BR", 1, None), ("p2", "a2", "BR", 1, None), (None, "a1", "BR", 1, 9)),
+        frame("player_id string, is_qualified boolean, net_deposit decimal(18,2)", ("p1", True, 200), ("p2", False, 5)),
     )
     enforce_contract(got, CONTRACTS["agg_affiliate_performance"])
     assert rows(got) == [("a1", 1, 50, 200, 4.0, 1)]  # a2 has nothing but a ghost: absent
@@ -153,7 +136,7 @@ def test_every_signal_fires_alone(frame):
         ("a", "tied", "2024-01-01 10:00:00", "bet", 1), ("b", "tied", "2024-01-01 10:00:00", "deposit", 1),
     )
     flagged = lambda df, name: sorted(r.player_id for r in df.where(name).collect())
-    fin = silver.player_financials(tx)
+    fin = silver.player_financials(silver.wallet_profile(tx))
     assert flagged(signals.aml_low_play(fin), "s_aml_low_play") == ["low"]
     assert flagged(signals.structuring(tx), "s_structuring") == ["round"]
     assert flagged(signals.ledger_anomaly(tx), "s_ledger_anomaly") == ["tied"]  # same instant: id decides
@@ -189,7 +172,7 @@ def test_dim_date_spans_both_facts(frame):
     assert gold.dim_date(tx.limit(0), sessions.limit(0)).count() == 0
 
 
-def test_dim_player_both_ways(frame):
+def test_dim_player_from_all_or_credited_claims(frame):
     tx = frame(
         TX, ("t1", "p1", "2024-01-01 10:00:00", "deposit", 100), ("t2", "p1", "2024-01-01 11:00:00", "bet", 50),
         ("t3", "p2", "2024-01-02 10:00:00", "deposit", 10), ("t4", "p2", "2024-01-03 10:00:00", "deposit", 10),
@@ -199,10 +182,9 @@ def test_dim_player_both_ways(frame):
         frame("player_id string, email string, city string, created_at date",
               ("p1", "A@X", "c", "2024-01-01"), ("p2", "b@x", "c", "2024-01-01"), ("p3", "c@x", "c", None))
     )
-    qualified = silver.qualified_ftd(silver.first_deposit(tx), tx)
-    parts = gold.dim_player(people, qualified, silver.affiliate_attribution(qualified, aff), silver.player_financials(tx))
-    whole = gold.dim_player_from_wallet(people, silver.wallet_profile(tx), aff)
-    assert rows(parts) == rows(whole)
+    wallet = silver.wallet_profile(tx)
+    whole = gold.dim_player(people, wallet, silver.winning_claims(aff))
+    assert rows(gold.dim_player(people, wallet, silver.affiliate_attribution(wallet, aff))) == rows(whole)
     cols = ("player_id", "email", "is_qualified_ftd", "acquisition_affiliate_id", "is_one_and_done")
     assert rows(whole, *cols) == [
         ("p1", "a@x", True, "a1", True), ("p2", "b@x", False, None, False), ("p3", "c@x", False, None, False)
@@ -217,20 +199,6 @@ def test_dim_affiliate_primary_country(frame):
     assert rows(gold.dim_affiliate(aff)) == [("a1", 3, 2, "AR"), ("a2", 1, 1, "CL")]
 
 
-def test_both_builds_of_performance_and_fraud_agree(spark):
-    from entry.queries import P, Frames
-
-    f = Frames(spark, "/root/testdata/sf0.001")
-    ledger = silver.player_ledger(f.tx, P)
-    attribution = silver.affiliate_attribution(f.qualified, f.aff)
-    parts = gold.agg_affiliate_performance(attribution, f.financials, f.qualified, f.aff)
-    assert rows(parts) == rows(f.performance)
-    fraud = gold.fct_fraud_signals(
-        f.conformed, f.qualified, f.financials, f.activity, ledger, f.aff, f.tx, f.players, P
-    )
-    assert rows(fraud) == rows(f.fraud)
-
-
 def test_bronze_casts_are_safe(frame):
     raw = frame(
         "transaction_id string, player_id string, type string, amount string, timestamp string",

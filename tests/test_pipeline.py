@@ -4,13 +4,20 @@ import csv
 import json
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from entry import queries
+from entry.oracles import ORACLES
 from tests.conftest import rows
+from tests.test_oracles import _table
 from wagerlens.operators.quality import ContractError, QualityError, enforce_contract
-from wagerlens.plans.pipeline import load_transactions, run_pipeline
+from wagerlens.plans.pipeline import Run, load_transactions, run_pipeline
 from wagerlens.schemas import CONTRACTS, COUNTRIES, DEVICES, RAW, TRANSACTION_TYPES
+from wagerlens.sources.driver_tables import DriverTables
 
 START = datetime(2024, 1, 1)
 AS_OF = datetime(2024, 3, 1)
@@ -119,6 +126,34 @@ def test_running_again_then_late_data(spark, delivered):
     assert late.table("gold", "fct_transactions").where("transaction_id = 'tx_out'").count() == 1
 
 
+def test_a_run_on_exported_tables_equals_the_sql(spark, tmp_path, monkeypatch):
+    """What the daily run stores, from files on, is what the registered queries are held against."""
+    folder = Path("/root/testdata/sf0.001")
+    if not folder.exists():
+        pytest.skip("benchmark tables are not here")
+    source = DriverTables(spark, str(folder))
+    text = lambda df, **names: [{names.get(k, k): None if v is None else str(v) for k, v in r.asDict().items()} for r in df.collect()]
+    iso = source.sessions().withColumn("session_ts", F.date_format("session_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    data = {
+        "players": text(source.players()), "sessions": text(iso, session_ts="timestamp"),
+        "transactions": text(source.transactions(), transaction_type="type", txn_ts="timestamp"), "affiliate_cpa_ftd": text(source.affiliate()),
+    }
+    monkeypatch.setattr(Run, "report", lambda self, results: None)  # these tables have other countries and devices
+    run = run_pipeline(spark, _deliver(tmp_path / "src", data), str(tmp_path / "out"), AS_OF, queries.P)
+    duck = duckdb.connect()
+    for path in folder.glob("*.parquet"):
+        duck.sql(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    tables = {
+        "dim_player": ("gold", "dim_player"), "dim_affiliate": ("gold", "dim_affiliate"), "fraud_signals": ("gold", "fct_fraud_signals"),
+        "affiliate_performance": ("gold", "agg_affiliate_performance"), "player_financials": ("silver", "financials"),
+        "qualified_ftd": ("silver", "qualified_ftd"), "first_deposit": ("silver", "first_deposit"), "kpi_retention": ("kpi", "retention"),
+    }
+    for name, place in tables.items():
+        stored, want = queries.plain(run.table(*place)), duck.sql(ORACLES[name])
+        columns = [c for c in want.columns]
+        assert _table(columns, [tuple(r) for r in stored.select(*columns).collect()]) == _table(columns, want.fetchall()), name
+
+
 def test_an_error_level_check_stops_the_run(spark, tmp_path):
     data = _source(11)
     data["transactions"][0]["amount"] = "n/a"

@@ -2,7 +2,7 @@
 
 from tests.conftest import rows
 from wagerlens.params import DEFAULTS
-from wagerlens.plans import kpis, reports
+from wagerlens.plans import kpis, reports, silver
 
 TX = "transaction_id string, player_id string, txn_ts timestamp, transaction_type string, amount decimal(18,2)"
 AFF = (
@@ -46,25 +46,16 @@ def test_reports_on_empty_sources(frame):
     assert {r.n for r in reports.silver_discovery(players, sessions, tx, aff).collect()} == {0}
     assert {r.n for r in reports.silver_feature_scan(tx, sessions).collect()} == {0}
     assert [(r.n, r.note) for r in reports.ledger_reconciliation(tx).collect()][0] == (0, "")
-    assert reports.dashboard_metrics_from_bronze(tx, aff).count() == 7
+    assert reports.dashboard_metrics(silver.wallet_profile(tx), silver.winning_claims(aff)).count() == 7
 
 
-def test_dashboard_both_ways(spark):
-    from entry.queries import P, Frames
-
-    f = Frames(spark, "/root/testdata/sf0.001")
-    assert rows(reports.dashboard_metrics(f.attribution, f.financials, P)) == rows(
-        reports.dashboard_metrics_from_bronze(f.tx, f.aff, P)
-    )
-
-
-def test_retention_skips_a_month_without_neighbours(frame):
+def test_retention_has_a_row_for_every_calendar_month(frame):
     tx = frame(
         "player_id string, txn_date date", ("p", "2024-01-05"), ("q", "2024-01-06"), ("p", "2024-02-01"),
         ("p", "2024-02-09"), ("r", "2024-04-01"),
     )
     assert rows(kpis.retention(tx)) == [
-        ("2024-01", 2, 0, 0, None), ("2024-02", 1, 2, 1, 0.5), ("2024-04", 1, 0, 0, None)
+        ("2024-01", 2, 0, 0, None), ("2024-02", 1, 2, 1, 0.5), ("2024-03", 0, 1, 0, 0.0), ("2024-04", 1, 0, 0, None)
     ]
 
 

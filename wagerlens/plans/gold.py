@@ -38,45 +38,31 @@ def dim_date(stg_tx: DataFrame, stg_sessions: DataFrame) -> DataFrame:
     )
 
 
-def _player_rows(joined: DataFrame) -> DataFrame:
+def dim_player(conformed: DataFrame, wallet: DataFrame, claims: DataFrame) -> DataFrame:
+    """Player dimension (current attributes only).
+
+    ``claims`` has one affiliate per player: all winning claims, or those of qualified players only. The gate on
+    qualification is a condition on the joined row, so both give the same dimension.
+    """
+    credited = F.coalesce(F.col("is_qualified"), F.lit(False))
+    joined = (
+        conformed.join(wallet.select("player_id", "first_deposit_ts", "is_qualified", "n_deposits"), "player_id", "left")
+        .join(claims.select("player_id", "affiliate_id", "acquisition_country"), "player_id", "left")
+    )
     return _shaped(
         joined.select(
             "player_id", "email", "city",
             F.col("created_at").alias("registered_at"),
-            F.coalesce(F.col("is_qualified"), F.lit(False)).alias("is_qualified_ftd"),
+            credited.alias("is_qualified_ftd"),
             "first_deposit_ts",
-            F.col("affiliate_id").alias("acquisition_affiliate_id"),
-            "acquisition_country",
+            F.when(credited, F.col("affiliate_id")).alias("acquisition_affiliate_id"),
+            F.when(credited, F.col("acquisition_country")).alias("acquisition_country"),
             (F.coalesce(F.col("n_deposits"), F.lit(0)) == 1).alias("is_one_and_done"),
         ),
         "dim_player",
     )
 
 
-def dim_player(conformed: DataFrame, qualified: DataFrame, attribution: DataFrame, financials: DataFrame) -> DataFrame:
-    """Player dimension (current attributes only) from materialized Silver tables."""
-    return _player_rows(
-        conformed.join(qualified.select("player_id", "first_deposit_ts", "is_qualified"), "player_id", "left")
-        .join(attribution.select("player_id", "affiliate_id", "acquisition_country"), "player_id", "left")
-        .join(financials.select("player_id", "n_deposits"), "player_id", "left")
-    )
-
-
-def dim_player_from_wallet(conformed: DataFrame, wallet: DataFrame, stg_aff: DataFrame) -> DataFrame:
-    """The same dimension straight from Bronze: one pass over each source.
-
-    The gate on qualification becomes a condition on the joined row instead of a join of its own.
-    """
-    credited = F.coalesce(F.col("is_qualified"), F.lit(False))
-    joined = (
-        conformed.join(wallet.select("player_id", "first_deposit_ts", "is_qualified", "n_deposits"), "player_id", "left")
-        .join(silver.winning_claims(stg_aff), "player_id", "left")
-        .withColumn("affiliate_id", F.when(credited, F.col("affiliate_id")))
-        .withColumn("acquisition_country", F.when(credited, F.col("acquisition_country")))
-    )
-    return _player_rows(joined)
-
-
 def dim_affiliate(stg_aff: DataFrame) -> DataFrame:
     """Distinct players and countries per affiliate, and its most frequent country.
 
@@ -107,41 +93,12 @@ def fct_sessions(stg_sessions: DataFrame) -> DataFrame:
     return _shaped(stg_sessions.withColumn("session_date", F.to_date("session_ts")), "fct_sessions")
 
 
-def agg_affiliate_performance(
-    attribution: DataFrame, financials: DataFrame, qualified: DataFrame, stg_aff: DataFrame
-) -> DataFrame:
-    """Per attributed affiliate: qualified players, CPA, revenue, ROI and unqualified claims."""
-    attributed = (
-        attribution.select("player_id", "affiliate_id", "cpa_value")
-        .join(financials.select("player_id", "net_deposit"), "player_id", "left")
-        .groupBy("affiliate_id")
-        .agg(
-            F.count_distinct("player_id").alias("qualified_ftds"),
-            F.sum("cpa_value").cast(TOTAL).alias("cpa_owed"),
-            F.sum("net_deposit").cast(TOTAL).alias("real_revenue"),
-        )
-    )
-    # NOT IN on keys known to be present is an anti join; a NULL player claims nothing.
-    ghosts = (
-        stg_aff.where("ftd > 0 and player_id is not null").select("affiliate_id", "player_id").distinct()
-        .join(qualified.where("is_qualified").select("player_id"), "player_id", "left_anti")
-        .groupBy("affiliate_id").agg(F.count("*").alias("ghost_ftds"))
-    )
-    return _performance_rows(attributed.join(ghosts, "affiliate_id", "left"))
-
-
-def _performance_rows(rows: DataFrame) -> DataFrame:
-    return _shaped(
-        rows.withColumn("roi", safe_ratio(F.col("real_revenue"), F.col("cpa_owed")))
-        .withColumn("ghost_ftds", F.coalesce(F.col("ghost_ftds"), F.lit(0))),
-        "agg_affiliate_performance",
-    )
+def agg_affiliate_performance(stg_aff: DataFrame, wallet: DataFrame) -> DataFrame:
+    """Per attributed affiliate: qualified players, CPA, revenue, ROI and unqualified claims.
 
-
-def affiliate_performance_from_wallet(stg_aff: DataFrame, wallet: DataFrame) -> DataFrame:
-    """The same table straight from Bronze: claims are reduced to (player, affiliate) pairs once,
-    the winner is marked among a player's pairs, and one join to the wallet decides both the
-    qualified and the ghost side."""
+    Claims are reduced to (player, affiliate) pairs once, the winner is marked among a player's pairs, and
+    one join to the wallet decides both the qualified and the ghost side. A NULL player claims nothing.
+    """
     pairs = (
         stg_aff.where("ftd > 0 and player_id is not null")
         .groupBy("player_id", "affiliate_id")
@@ -161,38 +118,14 @@ def affiliate_performance_from_wallet(stg_aff: DataFrame, wallet: DataFrame) ->
         )
         .where("qualified_ftds > 0")  # an affiliate with nothing but ghosts is not listed
     )
-    return _performance_rows(rows)
+    return _shaped(rows.withColumn("roi", safe_ratio(F.col("real_revenue"), F.col("cpa_owed"))), "agg_affiliate_performance")
 
 
 def fct_fraud_signals(
-    conformed: DataFrame, qualified: DataFrame, financials: DataFrame, activity: DataFrame,
-    ledger: DataFrame, stg_aff: DataFrame, stg_tx: DataFrame, stg_players: DataFrame,
-    params: Params = DEFAULTS,
-) -> DataFrame:
-    """Fraud profile from materialized Silver tables."""
-    bursts = signals.with_registration_burst(stg_players, params).select("player_id", "is_burst")
-    scored = signals.score_players(
-        conformed.select("player_id").join(bursts, "player_id", "left"),
-        silver.wallet_from_silver(financials, qualified, stg_tx, params),
-        silver.opening_movement(ledger),
-        activity,
-        silver.affiliate_profile(stg_aff),
-        params,
-    )
-    return _shaped(scored, "fct_fraud_signals")
-
-
-def fraud_signals_from_bronze(
-    stg_players: DataFrame, stg_tx: DataFrame, stg_sessions: DataFrame, stg_aff: DataFrame,
-    params: Params = DEFAULTS,
+    stg_players: DataFrame, wallet: DataFrame, activity: DataFrame, stg_aff: DataFrame, params: Params = DEFAULTS
 ) -> DataFrame:
-    """Fraud profile straight from Bronze: each source is aggregated per player, then joined."""
+    """Fraud profile: what each source says about a player (``wallet`` with the opening movement), joined."""
     scored = signals.score_players(
-        signals.with_registration_burst(stg_players, params),
-        silver.wallet_profile(stg_tx, params),
-        silver.opening_movement(stg_tx),
-        silver.player_activity(stg_sessions),
-        silver.affiliate_profile(stg_aff),
-        params,
+        signals.with_registration_burst(stg_players, params), wallet, activity, silver.affiliate_profile(stg_aff), params
     )
     return _shaped(scored, "fct_fraud_signals")

@@ -77,27 +77,30 @@ def kpi_acquisition(dim_player: DataFrame, fct_tx: DataFrame, performance: DataF
 
 
 def retention(fct_tx: DataFrame) -> DataFrame:
-    """Per month: players also active the month before, over the players of that month.
+    """Per calendar month from the first movement to the last: players active, and those active the month before too.
 
     Movements become distinct (player, month) pairs first, so a player's window holds at most
-    one row per month, and the closing window one row per month in all.
+    one row per month, and the closing window one row per month in all. A month without a movement
+    has a row too: nobody was active, and of those active before it nobody stayed.
     """
     month = F.trunc("txn_date", "month")
-    pairs = fct_tx.select("player_id", month.alias("month")).distinct()
+    pairs = fct_tx.where("txn_date is not null").select("player_id", month.alias("month")).distinct()
     previous = F.lag("month").over(Window.partitionBy("player_id").orderBy("month"))
     monthly = (
         pairs.withColumn("returned", previous == F.add_months("month", -1))
-        .groupBy("month").agg(F.count("*").alias("active_players"), F.count_if("returned").alias("retained_players"))
-    )
-    by_month = Window.orderBy("month")
-    adjacent = F.lag("month").over(by_month) == F.add_months("month", -1)
-    return (
-        monthly.withColumn("previous_active", F.when(adjacent, F.lag("active_players").over(by_month)).otherwise(0))
-        .select(
-            F.date_format("month", "yyyy-MM").alias("year_month"),
-            "active_players", "previous_active", "retained_players",
-            share(F.col("retained_players"), F.col("previous_active")).alias("retention_rate"),
-        )
+        .groupBy("month").agg(F.count("*").alias("active"), F.count_if("returned").alias("returned"))
+    )
+    bounds = monthly.agg(F.min("month").alias("a"), F.max("month").alias("b")).where("a is not null")
+    calendar = bounds.select(F.explode(F.sequence("a", "b", F.expr("interval 1 month"))).alias("month"))
+    none = F.lit(0).cast("bigint")
+    dense = calendar.join(monthly, "month", "left").select(
+        "month", F.coalesce("active", none).alias("active_players"), F.coalesce("returned", none).alias("retained_players")
+    )
+    before = F.coalesce(F.lag("active_players").over(Window.orderBy("month")), none)
+    return dense.withColumn("previous_active", before).select(
+        F.date_format("month", "yyyy-MM").alias("year_month"),
+        "active_players", "previous_active", "retained_players",
+        share(F.col("retained_players"), F.col("previous_active")).alias("retention_rate"),
     )
 
 

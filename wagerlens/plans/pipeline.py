@@ -164,12 +164,11 @@ def build_silver(run: Run, stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
     players, sessions, tx, aff = (stg[n] for n in ("players", "sessions", "transactions", "affiliate_cpa_ftd"))
     s: dict[str, DataFrame] = {}
     s["players_conformed"] = run.save("silver", "players_conformed", silver.players_conformed(players))
-    s["first_deposit"] = run.save("silver", "first_deposit", silver.first_deposit(tx))
-    s["qualified_ftd"] = run.save(
-        "silver", "qualified_ftd", silver.qualified_ftd(s["first_deposit"], tx, run.params.qualified_baseline)
-    )
-    s["attribution"] = run.save("silver", "attribution", silver.affiliate_attribution(s["qualified_ftd"], aff))
-    s["financials"] = run.save("silver", "financials", silver.player_financials(tx))
+    s["wallet"] = run.save("silver", "wallet", silver.player_wallet(tx, run.params))
+    s["first_deposit"] = run.save("silver", "first_deposit", silver.first_deposit(s["wallet"]))
+    s["qualified_ftd"] = run.save("silver", "qualified_ftd", silver.qualified_ftd(s["wallet"]))
+    s["attribution"] = run.save("silver", "attribution", silver.affiliate_attribution(s["wallet"], aff))
+    s["financials"] = run.save("silver", "financials", silver.player_financials(s["wallet"]))
     s["activity"] = run.save("silver", "activity", silver.player_activity(sessions))
     s["ledger"] = run.save("silver", "ledger", silver.player_ledger(tx, run.params))
     checks: list[AnyCheck] = [c for name in s if name != "ledger" for c in _keyed(name, s[name], "player_id")]
@@ -222,15 +221,10 @@ def build_gold(run: Run, stg: dict[str, DataFrame], s: dict[str, DataFrame], ful
     players, sessions, tx, aff = (stg[n] for n in ("players", "sessions", "transactions", "affiliate_cpa_ftd"))
     models = {
         "dim_date": gold.dim_date(tx, sessions),
-        "dim_player": gold.dim_player(s["players_conformed"], s["qualified_ftd"], s["attribution"], s["financials"]),
+        "dim_player": gold.dim_player(s["players_conformed"], s["wallet"], s["attribution"]),
         "dim_affiliate": gold.dim_affiliate(aff),
-        "fct_fraud_signals": gold.fct_fraud_signals(
-            s["players_conformed"], s["qualified_ftd"], s["financials"], s["activity"], s["ledger"], aff, tx, players,
-            run.params,
-        ),
-        "agg_affiliate_performance": gold.agg_affiliate_performance(
-            s["attribution"], s["financials"], s["qualified_ftd"], aff
-        ),
+        "fct_fraud_signals": gold.fct_fraud_signals(players, s["wallet"], s["activity"], aff, run.params),
+        "agg_affiliate_performance": gold.agg_affiliate_performance(aff, s["wallet"]),
     }
     g = {name: run.save("gold", name, q.enforce_contract(df, CONTRACTS[name])) for name, df in models.items()}
     load_transactions(run, s["ledger"], full_refresh)

@@ -112,7 +112,7 @@ def silver_discovery(
 
 def silver_feature_scan(stg_tx: DataFrame, stg_sessions: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """How often each candidate fraud feature fires."""
-    money = silver.player_financials(stg_tx).agg(
+    money = silver.wallet_profile(stg_tx, params).agg(
         F.count_if(F.col("total_withdrawals") > F.col("total_deposits")).alias("negative"),
         F.count_if(aml_low_play_rule(params)).alias("low_play"),
         F.count_if((F.col("total_deposits") > 0) & (F.col("n_bets") == 0)).alias("no_bets"),
@@ -200,28 +200,10 @@ def fraud_signal_scan(fraud: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     )
 
 
-def dashboard_metrics(attribution: DataFrame, financials: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """Headline figure of each dashboard panel."""
-    zero = F.lit(0).cast(TOTAL)
-    affiliate = (
-        attribution.select("player_id", "cpa_value")
-        .join(financials.select("player_id", "net_deposit"), "player_id", "left")
-        .agg(F.sum("cpa_value").alias("cpa"), F.sum(F.coalesce("net_deposit", zero)).alias("revenue"))
-    )
-    house = financials.agg(
-        F.sum("total_deposits").alias("deposits"),
-        F.sum("total_withdrawals").alias("withdrawals"),
-        F.sum("net_deposit").alias("net"),
-        F.count_if(aml_low_play_rule(params)).alias("low_play"),
-    )
-    return dashboard_lines(one_row(affiliate, house))
-
-
-def dashboard_metrics_from_bronze(stg_tx: DataFrame, stg_aff: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """The same report with one pass over the transactions: every player carries its own claim."""
-    wallet = silver.wallet_profile(stg_tx, params)
+def dashboard_metrics(wallet: DataFrame, claims: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """Headline figure of each dashboard panel; every player carries its own claim, which counts if it qualified."""
     credited = F.col("is_qualified") & F.col("affiliate_id").isNotNull()
-    row = wallet.join(silver.winning_claims(stg_aff), "player_id", "left").agg(
+    row = wallet.join(claims.select("player_id", "affiliate_id", "cpa_value"), "player_id", "left").agg(
         F.sum(F.when(credited, F.col("cpa_value"))).alias("cpa"),
         F.sum(F.when(credited, F.col("net_deposit"))).alias("revenue"),
         F.sum("total_deposits").alias("deposits"),

@@ -1,7 +1,8 @@
 """Silver: reusable per-player building blocks.
 
 ``wallet_profile`` answers the per-player money questions in one pass over the transactions; the
-single models are the same figures one at a time, for callers that need one.
+single models are projections of it, so there is one definition of each figure. Where only some of
+its columns are asked for, the others are not computed.
 """
 
 from __future__ import annotations
@@ -22,29 +23,16 @@ def players_conformed(stg_players: DataFrame) -> DataFrame:
     return stg_players.withColumn("email", F.lower("email"))
 
 
-def first_deposit(stg_tx: DataFrame) -> DataFrame:
+def first_deposit(wallet: DataFrame) -> DataFrame:
     """The real first deposit of each depositor."""
-    return (
-        stg_tx.where(is_type("deposit"))
-        .groupBy("player_id")
-        .agg(
-            F.min("txn_ts").alias("first_deposit_ts"),
-            F.count("*").alias("deposit_count"),
-            F.sum("amount").alias("total_deposits"),
-        )
+    return wallet.where("n_deposits > 0").select(
+        "player_id", "first_deposit_ts", F.col("n_deposits").alias("deposit_count"), "total_deposits"
     )
 
 
-def qualified_ftd(first_deposits: DataFrame, stg_tx: DataFrame, baseline: Decimal = DEFAULTS.qualified_baseline) -> DataFrame:
+def qualified_ftd(wallet: DataFrame) -> DataFrame:
     """Depositors, and whether they also bet the baseline."""
-    bets = stg_tx.where(is_type("bet")).groupBy("player_id").agg(F.sum("amount").alias("bets"))
-    total = F.coalesce(F.col("bets"), F.lit(0).cast(TOTAL))
-    return first_deposits.join(bets, "player_id", "left").select(
-        "player_id",
-        "first_deposit_ts",
-        total.alias("total_bets"),
-        (total >= F.lit(baseline)).alias("is_qualified"),
-    )
+    return wallet.where("n_deposits > 0").select("player_id", "first_deposit_ts", "total_bets", "is_qualified")
 
 
 def claim_rank() -> Column:
@@ -103,9 +91,9 @@ def _with_financial_ratios(sums: DataFrame) -> DataFrame:
     )
 
 
-def player_financials(stg_tx: DataFrame) -> DataFrame:
-    sums = stg_tx.groupBy("player_id").agg(*_financial_sums())
-    return _with_financial_ratios(sums).select(*FINANCIALS)
+def player_financials(wallet: DataFrame) -> DataFrame:
+    """Sums, counts and ratios of every player with a movement."""
+    return wallet.select(*FINANCIALS)
 
 
 def player_activity(stg_sessions: DataFrame) -> DataFrame:
@@ -170,16 +158,13 @@ def wallet_profile(stg_tx: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     )
 
 
-def wallet_from_silver(
-    financials: DataFrame, qualified: DataFrame, stg_tx: DataFrame, params: Params = DEFAULTS
-) -> DataFrame:
-    """The columns of ``wallet_profile`` the fraud rules need, from separate Silver tables."""
-    rounds = stg_tx.groupBy("player_id").agg(round_deposit_count(params.structuring_unit).alias("n_round"))
-    return (
-        financials.select("player_id", "total_deposits", "total_withdrawals", "total_bets", "net_deposit")
-        .join(qualified.select("player_id", "is_qualified"), "player_id", "full")
-        .join(rounds, "player_id", "full")
-    )
+def player_wallet(stg_tx: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """``wallet_profile`` with the type of the opening movement: all that Gold asks of a player's money.
+
+    The daily run stores it once; every Silver and Gold table about money is a projection of it. Both sides
+    are grouped by player, so the join moves nothing.
+    """
+    return wallet_profile(stg_tx, params).join(opening_movement(stg_tx), "player_id", "left")
 
 
 def affiliate_profile(stg_aff: DataFrame) -> DataFrame:

@@ -112,7 +112,7 @@ def repeated_filter(docs: DataFrame) -> np.ndarray:
 
 
 def _repeated(bits: np.ndarray, hashes: list[int]) -> np.ndarray:
-    at = np.array(hashes, np.int64) & ((1 << FILTER_BITS) - 1)
+    at = np.array(hashes, np.int64) & ((len(bits) << 6) - 1)
     return (bits[at >> 6] >> (at & 63) & 1).astype(bool)
 
 

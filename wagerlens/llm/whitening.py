@@ -235,15 +235,14 @@ def _twisted(a: np.ndarray, b: np.ndarray, lam: float) -> np.ndarray:
 
 
 def directions(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(singular values falling, right singular vectors as columns) of a triangle."""
+    """(singular values falling, right singular vectors as columns) of a triangle; no vectors for values that are zero to working precision."""
     a, b, v = bidiagonalise(r)
     sigma = singular_values(a, b)
     d = len(sigma)
-    if sigma[0] == 0:
-        return sigma, v
-    z = np.zeros((d, d))
+    kept = int(np.sum(sigma > 4 * d * _EPS * sigma[0]))
+    z = np.zeros((d, kept))
     start = 0
-    for k in range(d):
+    for k in range(kept):
         if k and sigma[k - 1] - sigma[k] > max(CLUSTER * sigma[k - 1], 64 * _EPS * sigma[0]):
             start = k
         one = _twisted(a, b, float(sigma[k]) ** 2)
@@ -304,8 +303,8 @@ def fit(rows: DataFrame, components: int = 32) -> Whitening | None:
         return None
     sigma, vectors = directions(triangle(rows, n, sums))
     values = sigma**2 / n
-    kept = min(components, int(np.sum(sigma > 4 * len(sigma) * _EPS * sigma[0])) if sigma[0] > 0 else 0)
-    vectors = vectors[:, :kept]
+    vectors = vectors[:, :components]
+    kept = vectors.shape[1]
     signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(kept)])
     return Whitening(n, sums, vectors * signs, values[:kept], float(values.sum()))
 

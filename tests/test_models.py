@@ -3,7 +3,6 @@
 from datetime import datetime
 from decimal import Decimal
 
-import pytest
 
 from tests.conftest import rows
 from wagerlens.operators.quality import enforce_contract

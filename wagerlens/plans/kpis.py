@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wagerlens.functions.scalars import is_type, one_row, safe_ratio, share, sum_of
+from wagerlens.functions.scalars import one_row, safe_ratio, share, sum_of
 from wagerlens.params import DEFAULTS, Params
 from wagerlens.schemas import CORE_SIGNALS, SECONDARY_SIGNALS, TOTAL
 

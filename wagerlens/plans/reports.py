@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagerlens.functions.scalars import is_type, one_row, safe_ratio, signed_amount, stack_union
+from wagerlens.functions.scalars import is_type, one_row, safe_ratio, signed_amount
 from wagerlens.operators.quality import relationships
 from wagerlens.operators.skew import lookup_join, running_total
 from wagerlens.params import DEFAULTS, Params

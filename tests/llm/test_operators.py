@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -429,6 +430,54 @@ def test_edited_fingerprints(docs, rows, empty):
     assert order_minhash.edited_fingerprints(empty).count() == 0
 
 
+def plain_signature(text, sketches=24, tuple_size=2, words=3, characters=5, unspaced=24):
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    units = [u for w in re.split(r"[ \t\n\x0B\f\r]+", text) for u in ([w] if len(w) < unspaced else w)]
+    seen, kmers = {}, []
+    for i in range(max(len(units) - words + 1, 1)):
+        h = 42
+        for u in units[i : i + (characters if len(units[i]) == 1 else words)]:
+            h = xxhash.xxh64_intdigest(u.encode(), h)
+        h >>= 24
+        n = seen[h] = seen.get(h, -1) + 1
+        if n:
+            h = xxhash.xxh64_intdigest((n - 1).to_bytes(4, "little"), xxhash.xxh64_intdigest(h.to_bytes(8, "little"), 42)) >> 24
+        kmers.append(((h ^ 1 << 39), i + 1, h))  # as signed numbers are ordered
+    out = []
+    for i in range(sketches):
+        place = ((i << 64) // sketches) >> 24
+        first = sorted(kmers, key=lambda k: ((k[0] - place) % (1 << 40), k[1]))[:tuple_size]
+        h = 42
+        for _, _, x in sorted(first, key=lambda k: k[1]):
+            h = xxhash.xxh64_intdigest((x >> 1).to_bytes(8, "little"), h)
+        out.append(signed(h))
+    return out
+
+
+def test_fingerprints_and_likeness_are_those_of_all_kmers(docs, rows):
+    got = order_minhash.edited_fingerprints(docs).collect()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    texts = [r[1] or "" for r in order]
+    want = []
+    for r, text, after in zip(order, texts, texts[1:] + texts[:1]):
+        quarter = len(text) // 4
+        own, changed, following = (plain_signature(t) for t in (text, text[: len(text) - quarter] + after[:quarter], after))
+        told = ["".join(f"{x % 2**64:016x}" for x in s) for s in (own, changed)]
+        share = [sum(a == b for a, b in zip(own, s)) / len(own) for s in (changed, following)]
+        want.append((r[0], *told, *share))
+    have = [(r.doc_id, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next) for r in got]
+    assert sorted(have, key=repr) == sorted(want, key=repr)
+
+
+def test_every_kmer_can_change_a_fingerprint(spark):
+    """Of a long text, however long, the first k-mers from each place count, wherever in the text they are."""
+    rng = random.Random(14)
+    text = words(rng, 3000) + " again and again and again and again"
+    df = spark.createDataFrame([(text,), ("a",), ("",), ("x y",), (" lead",)], "text string")
+    got = {r.text: r.s for r in df.select("text", order_minhash.signature(F.col("text"), sketches=64).alias("s")).collect()}
+    assert all(s == plain_signature(t, sketches=64) for t, s in got.items())
+
+
 def test_signature_follows_order(spark):
     rng = random.Random(8)
     base = [f"w{rng.randint(0, 500)}" for _ in range(300)]
@@ -444,7 +493,7 @@ def test_signature_follows_order(spark):
 
 def test_repeated_kmers_are_numbered(spark):
     df = spark.createDataFrame([(" ".join(["again"] * n),) for n in (60, 61, 120)], "text string")
-    s = [r.s for r in df.select(order_minhash.signature(F.col("text"), sketches=64, short=0).alias("s")).collect()]
+    s = [r.s for r in df.select(order_minhash.signature(F.col("text"), sketches=64).alias("s")).collect()]
     assert 0.5 < np.mean(np.array(s[0]) == np.array(s[1])) < 1 and s[0] != s[2]
 
 

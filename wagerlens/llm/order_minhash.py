@@ -11,7 +11,6 @@ from wagerlens.llm.common import partitions
 
 _POSITION = 24  # low bits of a packed number hold a position, the others a hash
 _LAST = (1 << _POSITION) - 1
-_SLOT = (1 << 12) - 1
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -27,22 +26,25 @@ def _pack(hashed: Column, position: Column) -> Column:
     return hashed.bitwiseAND(F.lit(~_LAST)).bitwiseOR(position.cast("long"))
 
 
-def signature(text: Column, sketches: int = 24, tuple_size: int = 2, sample: int = 48, words: int = 3, characters: int = 5, short: int = 256, unspaced: int = 24) -> Column:
+def signature(text: Column, sketches: int = 24, tuple_size: int = 2, words: int = 3, characters: int = 5, unspaced: int = 24) -> Column:
     """`sketches` numbers for a whole text; equal texts have equal ones.
 
     A text's units are its words; a word of `unspaced` characters or more is that many units of one character. A k-mer is
     `words` units in a row, or `characters` of them if the first is a single character; the last ones of a text are as long
     as it lasts, and a text with fewer than `words` units is one k-mer. What a k-mer is depends on its place alone and not on the text's
-    length, so texts of any lengths share those of equal passages; `short` has no effect. A k-mer that occurs again is numbered, so repeated ones stay apart. A
-    hash of k-mer and number orders them; the `sample` smallest stand for the text. Each sketch orders those
-    by a hash of its own, takes the `tuple_size` smallest, puts them back into the order of the text and hashes
-    the tuple. Two texts agree in a sketch if they share the k-mers and their order.
+    length, so texts of any lengths share those of equal passages. A k-mer that occurs again is numbered, so repeated ones stay apart.
 
-    Numbers are found by sorting (hash, position) pairs: equal k-mers form a run, in text order, and are
-    numbered along it. Hashes have 40 bits here; positions beyond 2^24 count as one.
+    Hashes of k-mer and number lie on a circle. Each sketch has its own place there, orders all k-mers of the text from that place on,
+    takes the `tuple_size` first (all, if there are fewer), puts them back into the order of the text and hashes the tuple. Two texts
+    agree in a sketch if the first k-mers of both together are shared and in the same order.
+
+    Numbers are found by sorting (hash, position) pairs: equal k-mers form a run, in text order, and are numbered along it. The
+    sketches' places are sorted in with the k-mers, so one more sort finds what follows each. Hashes have 40 bits here; positions
+    beyond 2^24 count as one.
     """
     spaced = F.split(text, r"[ \t\n\x0B\f\r]+")
     units = F.flatten(F.transform(spaced, lambda w: F.when(F.length(w) < unspaced, F.array(w)).otherwise(F.split(w, ""))))
+    places = F.array(*[F.lit(x) for x in circle(sketches)])
 
     def kmers(u: Column) -> Column:
         at = F.sequence(F.lit(1), F.greatest(F.size(u) - words + 1, F.lit(1)))
@@ -50,30 +52,46 @@ def signature(text: Column, sketches: int = 24, tuple_size: int = 2, sample: int
         return F.transform(at, lambda i: _pack(F.xxhash64(F.slice(u, i, many(i))), F.least(i, F.lit(_LAST))))
 
     def numbered(s: Column) -> Column:
+        def again(x: Column, j: Column) -> Column:
+            return (j > 0) & (_hash_of(F.get(s, j - 1)) == _hash_of(x))
+
+        firsts = F.filter(s, lambda x, j: ~again(x, j))
+        return _let(F.filter(s, again), lambda r: F.when(F.size(r) == 0, firsts).otherwise(F.concat(firsts, repeats(r))))
+
+    def repeats(r: Column) -> Column:
         def begins(j: Column) -> Column:
-            return (j == 0) | (_hash_of(F.get(s, j - 1)) != _hash_of(F.get(s, j)))
+            return (j == 0) | (_hash_of(F.get(r, j - 1)) != _hash_of(F.get(r, j)))
 
         def element(x: Column, number: Column) -> Column:
             return _pack(F.xxhash64(_hash_of(x), number), x.bitwiseAND(F.lit(_LAST)))
 
         def runs(starts: Column) -> Column:
-            end = lambda i: F.coalesce(F.get(starts, i + 1), F.size(s))
-            return F.flatten(F.transform(starts, lambda start, i: F.transform(F.slice(s, start + 1, end(i) - start), element)))
+            end = lambda i: F.coalesce(F.get(starts, i + 1), F.size(r))
+            return F.flatten(F.transform(starts, lambda start, i: F.transform(F.slice(r, start + 1, end(i) - start), element)))
+
+        return _let(F.filter(F.sequence(F.lit(0), F.size(r) - 1), begins), runs)
+
+    def is_place(x: Column) -> Column:
+        return x.bitwiseAND(F.lit(_LAST)) == 0  # positions of k-mers begin at 1
+
+    def sketched(all_of_them: Column, around: Column) -> Column:
+        n = F.size(all_of_them)
+        steps = F.sequence(F.lit(0), F.least(F.lit(tuple_size), n) - 1)
+
+        def sketch(j: Column, i: Column) -> Column:  # the i-th place, at j among k-mers and places, so j - i k-mers are before it
+            found = F.transform(steps, lambda step: F.get(all_of_them, F.pmod(j - i + step, n)))
+            by_place = F.sort_array(F.transform(found, lambda x: F.shiftleft(x.bitwiseAND(F.lit(_LAST)), 40 - 1).bitwiseOR(F.shiftrightunsigned(x, _POSITION + 1))))
+            return F.xxhash64(F.transform(by_place, lambda x: x.bitwiseAND(F.lit((1 << 39) - 1))))
 
-        return _let(F.filter(F.sequence(F.lit(0), F.size(s) - 1), begins), runs)
+        return F.transform(F.filter(F.sequence(F.lit(0), F.size(around) - 1), lambda j: is_place(F.get(around, j))), sketch)
 
-    def sketch(chosen: Column, i: Column) -> Column:
-        ranked = F.transform(chosen, lambda x, j: F.xxhash64(_hash_of(x), i).bitwiseAND(F.lit(~_SLOT)).bitwiseOR(j.cast("long")))
-        least = F.slice(F.sort_array(ranked), 1, tuple_size)
-        found = F.transform(least, lambda y: F.get(chosen, y.bitwiseAND(F.lit(_SLOT)).cast("int")))
-        by_place = F.sort_array(F.transform(found, lambda x: F.shiftleft(x.bitwiseAND(F.lit(_LAST)), 40 - 1).bitwiseOR(F.shiftrightunsigned(x, _POSITION + 1))))
-        return F.xxhash64(F.transform(by_place, lambda x: x.bitwiseAND(F.lit((1 << 39) - 1))))
+    around = _let(units, lambda u: _let(F.sort_array(kmers(u)), lambda s: F.sort_array(F.concat(numbered(s), places))))
+    return _let(around, lambda m: _let(F.filter(m, lambda x: ~is_place(x)), lambda k: sketched(k, m)))
 
-    def sketched(chosen: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.lit(sketches)), lambda i: sketch(chosen, i))
 
-    chosen = _let(units, lambda u: _let(F.sort_array(kmers(u)), lambda s: F.slice(F.sort_array(numbered(s)), 1, sample)))
-    return _let(chosen, sketched)
+def circle(sketches: int) -> list[int]:
+    """Ascending places of the sketches among all signed 64-bit numbers, at equal distances, with room for a position below."""
+    return [(-(1 << 63) + (i << 64) // sketches) & ~_LAST for i in range(sketches)]
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -173,10 +173,54 @@ def test_nearest_examples_are_exact():
         if len(a):
             q = toxicity.unit(a, f.astype(float), idf)
             sims = np.round(whole[:, a] @ q, 9)
-            want = np.lexsort((np.arange(n), -sims))[:15]
+            want = np.lexsort((np.arange(n), -sims))
+            want = want[(sims[want] >= sims[want[14]]) & (sims[want] > 0)]  # as near as the 15th
             got, cosines = index.nearest(a, q, 15)
-            assert cosines == pytest.approx(sims[want][sims[want] > 0][: len(cosines)], abs=1e-9)
-            assert got.tolist() == want[sims[want] > 0].tolist()  # of equal ones those with smaller ids
+            assert cosines == pytest.approx(sims[want], abs=1e-9)
+            assert got.tolist() == want.tolist()
+
+
+def test_ids_take_no_part_in_a_vote():
+    """Forty equally near examples, of two kinds in any order of ids: the score is that of their shares."""
+    rng = np.random.default_rng(4)
+    scores = []
+    for _ in range(5):
+        y = rng.permutation([1] * 10 + [0] * 30)
+        index = toxicity.Index.build(list(range(40)), y.tolist(), [[0]] * 40, [[1]] * 40, np.ones(1))
+        score, ids, cosines = index.vote(np.array([0]), np.array([2.0]), 15, 0.5)
+        assert len(ids) == len(cosines) == 15
+        scores.append(score)
+    assert scores == pytest.approx([(15 * 10 / 40 + 0.5 * 10.5 / 41) / 15.5] * 5)
+
+
+def test_scores_are_those_of_every_example_compared(spark):
+    """Chosen terms, rareness over all documents, cosines, votes: all from the definitions, without an index."""
+    rng = random.Random(21)
+    texts = [words(rng, rng.randint(5, 40)) + rng.choice(["", "", " scum", " filth scum", " filth", " scum scum"]) for _ in range(300)]
+    toxic = [int("scum" in t or "filth" in t) if rng.random() > 0.1 else 0 for t in texts]
+    known = spark.createDataFrame([(i, toxic[i]) for i in range(200)], "doc_id bigint, toxic int")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    chosen = toxicity.choose_terms(spark.createDataFrame([(texts[i], toxic[i]) for i in range(200)], "text string, label int"))
+    assert set(chosen) >= {"scum"}
+    held = [toxicity.words_and_stems(t) for t in texts]
+    idf = {w: np.log((1 + 300) / (1 + sum(w in h for h in held))) + 1 for w in chosen}
+
+    def vector(h):
+        v = np.array([(1 + np.log(h[w])) * idf[w] if w in h else 0.0 for w in chosen])
+        return v / max(np.sqrt(v @ v), 1e-300)
+
+    v, y = [vector(h) for h in held], np.array(toxic[:200], float)
+    prior, bare = (y.sum() + 0.5) / 201, [i for i in range(200) if not v[i].any()]
+    for r in toxicity.score_toxicity(docs, known).collect():
+        sims = np.round([v[r.doc_id] @ v[i] for i in range(200)], 9)
+        if not v[r.doc_id].any():
+            want = (y[bare].sum() + prior) / (len(bare) + 1)
+        else:
+            last = np.sort(sims)[-15]
+            share = np.where(sims > last, 1.0, np.where(sims == last, (15 - (sims > last).sum()) / (sims == last).sum(), 0.0))
+            votes = sims**2 * share
+            want = (votes @ y + 0.5 * prior) / (votes.sum() + 0.5)
+        assert r.score == pytest.approx(want, abs=1e-6)
 
 
 def test_toxicity_finds_marked_texts(spark, docs, labels, empty, rows):

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from wagerlens.llm.common import materialize, whole_text
 from wagerlens.llm.quality import LABELLED, labelled_sample
 
-TERMS = 1024
 CHANCE = 10.83
 """A term counts as telling if its log-likelihood ratio (G squared) is at least this, one in a thousand by chance, and more the
 more terms are tried: at least 2 ln(terms in MET or more texts), where about one term in all would pass by chance."""
@@ -37,11 +36,11 @@ def words_and_stems(text: str) -> Counter:
     return counted
 
 
-def choose_terms(texts: DataFrame, at_most: int = TERMS) -> list[str]:
+def choose_terms(texts: DataFrame, at_most: int | None = None) -> list[str]:
     """The terms of labelled `texts` (text, label) that tell most about the label: largest log-likelihood ratio towards label 1.
 
     Each distinct text counts a term once: copies of a text say no more about its terms than one of them.
-    Counting is a grouped sum; `at_most` terms reach the driver.
+    Counting is a grouped sum. All terms that tell reach the driver, or `at_most` of them: words of the labelled texts, whose number is bounded.
     """
     texts = materialize(texts.select("text", "label", F.sha2("text", 256).alias("digest")).dropDuplicates(["digest", "label"]), "labelled")
     totals = {r.label: r["count"] for r in texts.groupBy("label").count().collect()}
@@ -70,7 +69,8 @@ def choose_terms(texts: DataFrame, at_most: int = TERMS) -> list[str]:
     tells = part(F.col("a"), F.lit(float(ones)), share) + part(F.col("b"), F.lit(float(zeros)), share)
     told = counted.where(F.col("a") * zeros > F.col("b") * ones).where((F.col("a") + F.col("b")) < ones + zeros)
     told = told.where(2 * tells >= max(CHANCE, 2 * math.log(max(tried, 1))))
-    return [r.term for r in told.orderBy(tells.desc(), "term").limit(at_most).select("term").collect()]
+    ranked = told.orderBy(tells.desc(), "term").select("term")
+    return [r.term for r in (ranked if at_most is None else ranked.limit(at_most)).collect()]
 
 
 def vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
@@ -98,21 +98,27 @@ def vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
     return docs.mapInArrow(count, f"{schema}, at array<int>, tf array<int>")
 
 
+def _spans(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... `many[0]` of them, then those of the next."""
+    return np.repeat(first - many.cumsum() + many, many) + np.arange(many.sum())
+
+
 @dataclass(frozen=True)
 class Index:
     """Labelled examples, by ascending id, as postings: for a term the examples that hold it, in blocks of BLOCK examples.
 
-    first[t]: where term t's postings begin; examples and weights: the postings; block[t]: where each block
-    of t begins in them; most[t]: the largest weight of t in each block.
+    examples and weights: the postings, by term; entries, one for each block that holds a term: its place among the blocks, where
+    its postings begin, the largest of their weights. first[t]: where term t's entries begin.
     """
 
     idf: np.ndarray
     labels: np.ndarray
     ids: np.ndarray
-    first: np.ndarray
     examples: np.ndarray
     weights: np.ndarray
-    block: np.ndarray
+    first: np.ndarray
+    place: np.ndarray
+    begin: np.ndarray
     most: np.ndarray
     prior: float  # share of label 1 among all examples
     blank: float  # among those that hold no term
@@ -121,7 +127,6 @@ class Index:
     def build(cls, ids: list[int], labels: list[int], at: list, tf: list, idf: np.ndarray) -> "Index":
         order = np.argsort(np.array(ids, np.int64), kind="stable")
         n, terms = len(order), len(idf)
-        blocks = -(-n // BLOCK)
         y = np.array(labels, np.float64)[order] if n else np.zeros(0)
         rows, cols, vals = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         blank = np.ones(n, bool)
@@ -133,52 +138,63 @@ class Index:
         rows, cols, vals = map(np.concatenate, (rows, cols, vals))
         by = np.lexsort((rows, cols))
         rows, cols, vals = rows[by], cols[by], vals[by]
-        first = np.searchsorted(cols, np.arange(terms + 1))
-        block = np.searchsorted(cols * (n + BLOCK) + rows, (np.arange(terms)[:, None] * (n + BLOCK) + np.arange(blocks + 1) * BLOCK))
-        most = np.zeros((terms, blocks))
-        np.maximum.at(most, (cols, rows // BLOCK), vals)
+        begin = np.unique(cols * (n // BLOCK + 1) + rows // BLOCK, return_index=True)[1]
+        most = np.maximum.reduceat(vals, begin) if len(begin) else np.zeros(0)
         prior = (y.sum() + 0.5) / (n + 1)
-        return cls(idf, y, np.array(ids, np.int64)[order], first, rows, vals, block, most, prior, (y[blank].sum() + prior) / (blank.sum() + 1))
+        return cls(
+            idf, y, np.array(ids, np.int64)[order], rows, vals, np.searchsorted(cols[begin], np.arange(terms + 1)), rows[begin] // BLOCK,
+            np.append(begin, len(rows)), most, prior, (y[blank].sum() + prior) / (blank.sum() + 1),
+        )
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The `k` examples of largest cosine (above 0; of equal ones those with smaller ids) and their cosines, exactly.
+        """The `k` examples of largest cosine (above 0) and all that are as near as the last of them, with their cosines, exactly.
 
-        A block can hold no cosine above the sum of its terms' largest weights; blocks are opened in
-        descending order of that bound, equal ones by ascending ids, until the k-th best found is above all that
-        remain, or as good as they can be and of a smaller id. Cosines are compared at nine digits.
+        A block can hold no cosine above the sum of its terms' largest weights; blocks are opened in descending order of that bound, until
+        the k-th best found is above all that remain. Cosines are compared at nine digits.
         """
-        bound = np.round(weight @ self.most[at], 9)
+        many = self.first[at + 1] - self.first[at]
+        entry, by_term = _spans(self.first[at], many), np.repeat(weight, many)
+        where = self.place[entry]
+        bound = np.round(np.bincount(where, by_term * self.most[entry], -(-len(self.ids) // BLOCK)), 9)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        slot = np.zeros(len(bound), np.int64)
+        slot = np.empty(len(bound), np.int64)
         best, sims, step, opened = np.zeros(0, np.int64), np.zeros(0), 4, 0
-        while opened < len(order):
-            left = order[opened]  # of the remaining blocks with this bound, the one with the smallest ids
-            if len(sims) == k and (sims[-1] > bound[left] or sims[-1] == bound[left] and best[-1] < left * BLOCK):
-                break
+        while opened < len(order) and not (len(sims) >= k and sims[k - 1] > bound[order[opened]]):
             some = np.sort(order[opened : opened + step])
             opened, step = opened + step, 2 * step
+            slot[:] = -1
             slot[some] = np.arange(len(some))
             # the postings of all terms in these blocks, term by term
-            from_ = self.block[at[:, None], some].ravel()
-            many = self.block[at[:, None], some + 1].ravel() - from_
-            where = np.repeat(from_ - many.cumsum() + many, many) + np.arange(many.sum())
-            who, w = self.examples[where], np.repeat(np.repeat(weight, len(some)), many)
-            sums = np.bincount(slot[who // BLOCK] * BLOCK + who % BLOCK, w * self.weights[where], len(some) * BLOCK)
+            of = np.flatnonzero(slot[where] >= 0)
+            length = self.begin[entry[of] + 1] - self.begin[entry[of]]
+            posting, w = _spans(self.begin[entry[of]], length), np.repeat(by_term[of], length)
+            who = self.examples[posting]
+            sums = np.bincount(slot[who // BLOCK] * BLOCK + who % BLOCK, w * self.weights[posting], len(some) * BLOCK)
             hit = np.flatnonzero(sums > 0)
             best = np.concatenate([best, some[hit // BLOCK] * BLOCK + hit % BLOCK])
             sims = np.concatenate([sims, np.round(sums[hit], 9)])
-            top = np.lexsort((best, -sims))[:k]
+            top = np.lexsort((best, -sims))
             best, sims = best[top], sims[top]
+            if len(sims) > k:
+                near = sims >= sims[k - 1]
+                best, sims = best[near], sims[near]
         return best, sims
 
     def vote(self, at: np.ndarray, tf: np.ndarray, k: int, weight_of_prior: float) -> tuple[float, np.ndarray, np.ndarray]:
-        """Score, and the evidence: ids of the nearest examples and their cosines. Nearer ones count more, by the square."""
+        """Score, and the evidence: ids of the nearest examples and their cosines. Nearer ones count more, by the square.
+
+        Examples that are as near as the k-th share its and its equals' places, so ids take no part in a score. Evidence names `k`.
+        """
         if not len(at):
             return float(self.blank), np.zeros(0, np.int64), np.zeros(0)
         best, sims = self.nearest(at, unit(at, tf, self.idf), k)
         votes = sims**2
-        return float((votes @ self.labels[best] + weight_of_prior * self.prior) / (votes.sum() + weight_of_prior)), self.ids[best], sims
+        if len(sims) > k:
+            last = sims == sims[k - 1]
+            votes[last] *= (k - (~last).sum()) / last.sum()
+        score = (votes @ self.labels[best] + weight_of_prior * self.prior) / (votes.sum() + weight_of_prior)
+        return float(score), self.ids[best[:k]], sims[:k]
 
 
 def unit(at: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -186,11 +202,11 @@ def unit(at: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return w / np.sqrt(w @ w)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, at_most: int = LABELLED, terms: int = TERMS, k: int = 15, weight_of_prior: float = 0.5) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, at_most: int = LABELLED, terms: int | None = None, k: int = 15, weight_of_prior: float = 0.5) -> DataFrame:
     """doc_id, score, and the evidence neighbours (array of doc_id, cosine) of every row of `docs`.
 
-    Terms are chosen on the labelled examples, of which at most `at_most` are taken (those with the smallest
-    hashed ids). How rare a term is, is counted over all of `docs`. The index of examples has that proven size and goes to every
+    Terms are all that tell label 1 in the labelled examples (`choose_terms`; at most `terms` if given), of which at most `at_most` are
+    taken (those with the smallest hashed ids); a text's other words stand in no vector. How rare a term is, is counted over all of `docs`. The index of examples has that proven size and goes to every
     worker; each document asks it once.
 
     A text without any chosen term, null and empty ones included, has the smoothed share of label 1 among
@@ -203,7 +219,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, at_most: int = LABELLED,
     chosen = choose_terms(texts, terms)
     counted = materialize(vectors(whole_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text"), chosen), "vectors")
     n = counted.count()
-    holding = {r.at: r.n for r in counted.select(F.explode("at").alias("at")).groupBy("at").agg(F.count(F.lit(1)).alias("n")).collect()}  # `terms` rows
+    holding = {r.at: r.n for r in counted.select(F.explode("at").alias("at")).groupBy("at").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each chosen term
     idf = np.array([np.log((1 + n) / (1 + holding.get(i, 0))) + 1 for i in range(len(chosen))])
     examples = counted.join(F.broadcast(known), "doc_id").distinct().toPandas()  # `at_most` examples
     examples = examples.sort_values("doc_id", kind="stable")

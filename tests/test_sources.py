@@ -117,6 +117,25 @@ def test_json_record_audit(spark, tmp_path):
     assert names == {"a": (True, False), "b": (True, False), "1bad": (False, False), "_source_file": (True, True)}
 
 
+def test_json_record_audit_of_a_file_in_many_tasks(spark, tmp_path):
+    """Records over several lines and blocks are read once each; what is no object is counted, not lost."""
+    records = [{"id": i, "note": "x" * (i % 90) + '"}],{[', **({"more": [i]} if i % 7 == 0 else {})} for i in range(2000)]
+    path = _write(tmp_path / "big.json", json.dumps(records, indent=1)[:-1].rstrip() + ',\n 5,\n {"id": }\n]')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        assert spark.read.text(path).rdd.getNumPartitions() > 3
+        sets = {r.key_set: (r.n_rows, r.n_nested) for r in audit.json_record_audit(spark, path).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sets == {"id,note": (1714, 0), "id,more,note": (286, 286), None: (2, 0)}
+
+
+def test_csv_record_audit_of_a_file_without_a_line(spark, tmp_path):
+    got = audit.csv_record_audit(spark, _write(tmp_path / "none.csv", "")).first()
+    assert (got.n_columns, got.n_rows, got.ragged_rows, got.invalid_names) == (0, 0, 0, "")
+
+
 def test_csv_record_audit(spark, tmp_path):
     path = _write(tmp_path / "a.csv", 'a;b c;_ingested_at\r\n1;2;3\r\n1\r\n"x\ny";2;"z\n"\r\n1;2;3;4\r\n')
     got = audit.csv_record_audit(spark, path).first().asDict()

@@ -66,23 +66,21 @@ def dim_player(conformed: DataFrame, wallet: DataFrame, claims: DataFrame) -> Da
 def dim_affiliate(stg_aff: DataFrame) -> DataFrame:
     """Distinct players and countries per affiliate, and its most frequent country.
 
-    Country counts combine before the shuffle, and the distinct count shuffles on
-    (affiliate, player): neither puts a dominant affiliate into one task.
+    One scan counts an affiliate's rows by country and by player at once. Both kinds of count combine before the
+    shuffle and shuffle on two keys, so a dominant affiliate is not in one task; what is left of it are partial sums.
     """
-    by_country = stg_aff.groupBy("affiliate_id", "country").agg(F.count("*").alias("n"))
+    cells = stg_aff.groupingSets(
+        [["affiliate_id", "country"], ["affiliate_id", "player_id"]], "affiliate_id", "country", "player_id"
+    ).agg(F.count("*").alias("n"), (F.grouping("player_id") == 1).alias("is_country"))
+    country = F.when(F.col("is_country"), F.col("country"))
     # Most rows first, then country name; a NULL country sorts first, as in an ascending sort.
-    countries = by_country.groupBy("affiliate_id").agg(
-        F.count("country").alias("n_acquisition_countries"),
-        F.min(F.struct((-F.col("n")).alias("minus_n"), "country")).alias("top"),
-    )
-    players = stg_aff.groupBy("affiliate_id").agg(F.count_distinct("player_id").alias("n_players_claimed"))
-    return _shaped(
-        players.join(
-            countries.select("affiliate_id", "n_acquisition_countries", F.col("top.country").alias("primary_country")),
-            "affiliate_id", "left",
-        ),
-        "dim_affiliate",
+    top = F.min(F.when(F.col("is_country"), F.struct((-F.col("n")).alias("minus_n"), F.col("country").alias("country"))))
+    rows = cells.groupBy("affiliate_id").agg(
+        F.count(F.when(~F.col("is_country"), F.col("player_id"))).alias("n_players_claimed"),
+        F.count(country).alias("n_acquisition_countries"),
+        top.alias("top"),
     )
+    return _shaped(rows.withColumn("primary_country", F.col("top.country")), "dim_affiliate")
 
 
 def fct_transactions(ledger: DataFrame) -> DataFrame:

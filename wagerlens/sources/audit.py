@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from wagerlens.schemas import AUDIT_COLUMNS
 from wagerlens.sources.readers import CORRUPT
+from wagerlens.sources.records import json_records
 
 _NAME = r"^[A-Za-z_][A-Za-z0-9_]*$"
 _DELIMITERS = (",", ";", "\t", "|")
@@ -62,9 +63,13 @@ def _name_problems(names: list[str]) -> tuple[list[str], list[str]]:
 
 
 def json_record_audit(spark: SparkSession, path: str) -> DataFrame:
-    """(key_set, n_rows, n_nested) per distinct key set of the records of JSON arrays."""
-    files = spark.read.option("wholetext", True).text(path)
-    records = files.select(F.explode(F.from_json("value", "array<map<string,variant>>")).alias("rec"))
+    """(key_set, n_rows, n_nested) per distinct key set of the records of JSON arrays.
+
+    Files are cut into records from splittable lines, so a file of any size is many tasks. What is no JSON object counts
+    under the NULL key set.
+    """
+    text = F.when(~F.col("outside"), F.col("record"))
+    records = json_records(spark, path).select(F.from_json(text, "map<string,variant>").alias("rec"))
     nested = F.exists(F.map_values("rec"), lambda v: F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"))
     return (
         records.select(F.array_join(F.sort_array(F.map_keys("rec")), ",").alias("key_set"), nested.alias("nested"))
@@ -75,14 +80,15 @@ def json_record_audit(spark: SparkSession, path: str) -> DataFrame:
 def csv_record_audit(spark: SparkSession, path: str) -> DataFrame:
     """One row: delimiter, columns, rows, ragged rows, fields with line breaks, unusable names.
 
-    Only the header line comes to the driver.
+    Only the header line comes to the driver. A file without a line has no columns and no rows.
     """
-    header = spark.read.text(path).head(1)[0].value.rstrip("\r")
+    lines = spark.read.text(path).head(1)
+    header = lines[0].value.rstrip("\r") if lines else ""
     delimiter = max(_DELIMITERS, key=header.count)
-    names = [n.strip('"') for n in header.split(delimiter)]
+    names = [n.strip('"') for n in header.split(delimiter)] if lines else []
     invalid, clash = _name_problems(names)
-    # Positional names: the real ones may be unusable or repeated.
-    cols = [f"_{i}" for i in range(len(names))]
+    # Positional names: the real ones may be unusable or repeated. The reader wants one column at least.
+    cols = [f"_{i}" for i in range(max(len(names), 1))]
     fields = [T.StructField(c, T.StringType()) for c in [*cols, CORRUPT]]
     rows = spark.read.schema(T.StructType(fields)).csv(
         path, header=True, sep=delimiter, multiLine=True, enforceSchema=True, columnNameOfCorruptRecord=CORRUPT

@@ -424,6 +424,23 @@ def test_links_have_the_components_of_all_pairs(spark, monkeypatch, crowd):
     assert {v: got.get(v, v) for v in signed.values()} == want
 
 
+def test_references_discard_far_pairs_and_no_near_one(spark):
+    rng = random.Random(16)
+    signed = lambda f: f - (1 << 64) if f >> 63 else f
+    seeds = [rng.getrandbits(64) for _ in range(200)]
+    flipped = lambda f, n: f ^ sum(1 << b for b in rng.sample(range(64), n))
+    near, far, any_two = ([(signed(s), signed(flipped(s, n))) for s in seeds] for n in (2, 8, 32))
+    told = {}
+    for name, pairs in (("near", near), ("far", far), ("any", any_two)):
+        told[name] = {r.reference: r.share for r in simhash.discarded(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    refs = simhash._references()
+    assert all((a ^ b).bit_count() in (32,) for i, a in enumerate(r % 2**64 for r in refs) for b in [x % 2**64 for x in refs[:i]])
+    assert set(told["near"].values()) == {0.0}
+    assert all(share > 0.4 for share in told["any"].values()) and told["any"][None] == 1.0
+    assert told["far"][None] > 0.95 and told["far"][None] > max(v for k, v in told["far"].items() if k is not None)
+    assert {r.share for r in simhash.discarded(spark.createDataFrame([], "a long, b long")).collect()} == {None}
+
+
 def test_near_groups(docs, rows, empty):
     got = simhash.near_groups(docs).collect()
     fps = {plain_fingerprint(t, 3) for _, t, *_ in rows}

@@ -64,10 +64,11 @@ def _signed(bits: int) -> int:
 
 
 def _references() -> list[int]:
-    """The general reference fingerprints: every second bit, pair, run of 4, ... and each run of 16 bits, with their opposites."""
-    masks = [sum(1 << i for i in range(64) if i >> k & 1) for k in range(6)]
-    masks += [0xFFFF << 16 * i for i in range(4)]
-    return [_signed(m ^ (2**64 - 1) * flip) for m in masks for flip in (0, 1)]
+    """The general reference fingerprints: bit i of the k-th is the parity of i & k, so any two of them differ in just half of the bits.
+
+    None is another's opposite, whose distances (64 less the other's) would discard nothing of their own.
+    """
+    return [_signed(sum(1 << i for i in range(64) if (i & k).bit_count() & 1)) for k in range(1, 64, 3)]
 
 
 def _distance(a: Column, b: Column) -> Column:
@@ -116,6 +117,16 @@ def linked(fps: DataFrame, max_distance: int = 2) -> DataFrame:
     return pairs.union(hubs).distinct()
 
 
+def discarded(pairs: DataFrame, max_distance: int = 2) -> DataFrame:
+    """(reference, share): the share of `pairs` (a, b: fingerprints) that each general reference discards by itself; the last row, with
+    a null reference, is what all of them discard together. No pairs, null shares."""
+    apart = [F.abs(_distance(F.col("a"), F.lit(r)) - _distance(F.col("b"), F.lit(r))) > max_distance for r in _references()]
+    shares = [(F.lit(r), F.avg(gone.cast("int"))) for r, gone in zip(_references(), apart)]
+    shares.append((F.lit(None).cast("long"), F.avg(F.array_contains(F.array(*apart), True).cast("int"))))
+    told = F.array(*[F.struct(r.cast("long").alias("reference"), share.alias("share")) for r, share in shares])
+    return pairs.agg(told.alias("told")).select(F.inline("told"))
+
+
 def near_groups(docs: DataFrame, width: int = 3, max_distance: int = 2) -> DataFrame:
     """doc_id, fp, component_id of every row of `docs`; component_id is the smallest doc_id reachable over links.
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -595,6 +596,52 @@ def test_rates_match_least_squares(spark, most):
         assert soft[:, :3].T @ (soft[:, 3] * want) == pytest.approx(wanted, rel=0.02)
 
 
+def plain_features(text, terms):
+    """Every number from the text anew."""
+    told = [w for w in toxicity.words_and_stems(text) if w in terms]
+    more = [np.log1p(len(told)), np.log1p(len(told)), np.log1p(float(bool(told)))]
+    data, split, lines = text.encode(), text.split(), [x for x in text.split("\n") if x.strip()]
+    if not data:
+        return [0.0] * 19 + more
+    n, w, k = len(data), max(len(split), 1), max(len(lines), 1)
+    upper, digits, spaces = (sum(b in chars for b in data) for chars in (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\n\v\f\r"))
+    marks, signs = sum(b in string.punctuation.encode() for b in data), sum(b in b"#$%&*@^~+=<>" for b in data)
+    return [
+        np.log1p(len(text)), np.log1p(len(split)), np.log1p(len(lines)), sum(map(len, split)) / w, len(set(split)) / w,
+        max(map(split.count, split), default=0) / w, len(set(lines)) / k, np.log1p(n / k), upper / n, digits / n, spaces / n, marks / n,
+        data.count(b"!") / w, signs / w, data.count(b"|") / w, sum(b > 127 for b in data) / n, len(zlib.compress(data, 1)) / n,
+        sum(x[0].isupper() for x in split) / w, sum(x.rstrip()[-1] in ".!?" for x in lines) / k, *more,
+    ]
+
+
+def test_features_and_tokens_come_from_one_split(rows):
+    class Text(str):
+        """Counts how often the whole of it is split into words or lower-cased."""
+
+        passes = 0
+
+        def split(self, *by):
+            Text.passes += not by
+            return super().split(*by)
+
+        def lower(self):
+            Text.passes += 1
+            return super().lower()
+
+    rng = random.Random(17)
+    signs = "aAbZk \n\t\x1c\x85\xa0\u2003\u200b.:'’_-0²!?|#ªéÉßΑΣσς\u212aİı\u0307ʰ中\U0001d400"
+    texts = [t or "" for _, t, *_ in rows if len(t or "") < 5000]
+    texts += ["ΑΣ ΑΣ.Α ΑΣ' Α", "Stone Riverer_clouds stone2river", *("".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(2000))]
+    found = sorted({w for t in texts for w in toxicity.words_and_stems(t)})
+    terms = dict.fromkeys(rng.sample(found, len(found) // 3) + ["river*", "stone", "ας", "ασ"], 1.0)
+    model = mixing.DomainModel(terms, np.zeros(1), np.ones(1), np.ones((23, 3)))
+    x, tokens = model.measured(texts)
+    assert x.tolist() == [plain_features(t, terms) for t in texts]
+    assert tokens.tolist() == [len(t.split()) for t in texts]
+    model.posteriors([Text("Stone river, stone!\nclouds"), Text("été 12.5")])
+    assert Text.passes == 2  # one for each text
+
+
 def test_mixing_takes_rows_at_their_rates(docs, labels, rows, empty):
     weights = {"clean": 0.6, "toxic": 0.2, "poor": 0.2}
     rated = mixing.mixing_rates(docs, labels, weights).collect()

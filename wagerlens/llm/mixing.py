@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,8 +14,8 @@ from pyspark.sql import functions as F
 
 from wagerlens.llm.common import materialize, whole_text
 from wagerlens.llm.quality import LABELLED
-from wagerlens.llm.textstats import NAMES, matrix
-from wagerlens.llm.toxicity import choose_terms, words_and_stems
+from wagerlens.llm.textstats import NAMES, statistics
+from wagerlens.llm.toxicity import STEM, choose_terms, distinct_words
 
 DOMAINS = ("clean", "toxic", "poor")
 TERMS = 512
@@ -39,14 +41,26 @@ class DomainModel:
     spread: np.ndarray
     weights: np.ndarray  # (features + 1) x domains
 
-    def features(self, texts: list[str]) -> np.ndarray:
-        told = [[self.terms[w] for w in words_and_stems(t) if w in self.terms] for t in texts]
-        more = np.array([[sum(t), len(t), max(t, default=0.0)] for t in told], np.float64).reshape(len(texts), 3)
-        return np.concatenate([matrix(texts), np.log1p(np.maximum(more, 0))], axis=1)
-
-    def posteriors(self, texts: list[str]) -> np.ndarray:
-        x = (self.features(texts) - self.mean) / self.spread
-        return softmax(np.concatenate([x, np.ones((len(x), 1))], axis=1) @ self.weights)
+    def measured(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Features of whole texts, and their tokens (white-space separated words). A text is split once for all of them."""
+        x, tokens = np.zeros((len(texts), len(NAMES) + 3)), np.zeros(len(texts))
+        # which stems can matter is known from the terms
+        stems = {t[:STEM] for t in self.terms if t.endswith("*")}
+        for i, text in enumerate(texts):
+            counted = Counter(text.split())
+            words = distinct_words(counted)
+            told = [self.terms[w] for w in words & self.terms.keys()]
+            told += [self.terms[s + "*"] for s in {w[:STEM] for w in words if len(w) > STEM} & stems]
+            x[i] = [*statistics(text, counted), math.fsum(told), len(told), max(told, default=0.0)]
+            tokens[i] = counted.total()
+        x[:, len(NAMES) :] = np.log1p(np.maximum(x[:, len(NAMES) :], 0))
+        return x, tokens
+
+    def posteriors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How likely whole texts belong to each of DOMAINS, and their tokens."""
+        x, tokens = self.measured(texts)
+        x = (x - self.mean) / self.spread
+        return softmax(np.concatenate([x, np.ones((len(x), 1))], axis=1) @ self.weights), tokens
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -75,7 +89,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, at_most: int = LABELLED, ter
 
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"doc_id": frame.doc_id, "label": frame.label, "x": list(blank.features(frame.text.tolist()))})
+            yield pd.DataFrame({"doc_id": frame.doc_id, "label": frame.label, "x": list(blank.measured(frame.text.tolist())[0])})
 
     measured = texts.mapInPandas(measure, "doc_id long, label int, x array<double>").toPandas()
     measured = measured.sort_values(["doc_id", "label"], kind="stable")
@@ -92,9 +106,7 @@ def memberships(text: Column, model: DomainModel) -> Column:
 
     @F.pandas_udf("array<double>")
     def member(texts: pd.Series) -> pd.Series:
-        texts = texts.tolist()
-        words = [[float(len(t.split()))] for t in texts]
-        return pd.Series(list(np.concatenate([model.posteriors(texts), np.array(words).reshape(len(texts), 1)], axis=1)))
+        return pd.Series(list(np.column_stack(model.posteriors(texts.tolist()))))
 
     return member(F.coalesce(text, F.lit("")))
 
@@ -168,7 +180,7 @@ class Mixture:
 
         @F.pandas_udf("double")
         def rate(texts: pd.Series) -> pd.Series:
-            soft, out = model.posteriors(texts.tolist()), np.ones(len(texts))
+            soft, out = model.posteriors(texts.tolist())[0], np.ones(len(texts))
             for push in pushes:
                 out = np.clip(out - soft @ np.array(push), 0.0, most)
             return pd.Series(out)

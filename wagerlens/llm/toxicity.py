@@ -5,8 +5,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,23 @@ def words_and_stems(text: str) -> Counter:
     return counted
 
 
+_ASCII_LETTERS = {c: chr(c).lower() if chr(c).isalpha() else " " for c in range(128)}
+
+
+def distinct_words(pieces: Iterable[str]) -> set[str]:
+    """The different words that `words_and_stems` finds in a text of these white-space separated pieces.
+
+    Neither words nor lower case reach across white space. Within ASCII, letters are told apart by a table.
+    """
+    joined = " ".join(pieces)
+    if joined.isascii():
+        return set(joined.translate(_ASCII_LETTERS).split())
+    pieces = joined.split(" ")
+    found = set(" ".join(filter(str.isascii, pieces)).translate(_ASCII_LETTERS).split())
+    found.update(_WORD.findall(" ".join(filterfalse(str.isascii, pieces)).lower()))
+    return found
+
+
 def choose_terms(texts: DataFrame, at_most: int | None = None) -> list[str]:
     """The terms of labelled `texts` (text, label) that tell most about the label: largest log-likelihood ratio towards label 1.
 
